@@ -53,11 +53,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def utf8_lists(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[tuple[pa.Array, list[bytes]]]:
-    """(first column, texts as UTF-8 bytes, null as empty) of each batch."""
+def utf8_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+    """The columns of each batch; the last one, texts, as a list of UTF-8 bytes, null as empty."""
     for batch in batches:
         if batch.num_rows:
-            yield batch.column(0), [x or b"" for x in batch.column(text).cast(pa.binary()).to_pylist()]
+            *keys, text = batch.columns
+            yield [*keys, [x or b"" for x in text.cast(pa.binary()).to_pylist()]]
 
 
 def words_of(text) -> "F.Column":

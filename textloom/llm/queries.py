@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import packing, secrets
+from textloom.llm import embeddings, packing, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
     "op2_secrets": secrets.op2_secrets,
+    "op8_simhash": simhash.op8_simhash,
+    "op9_embeddings": embeddings.op9_embeddings,
 }
 
 SQL: dict[str, str] = {}
