@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import embeddings, packing, secrets, simhash
+from textloom.llm import embeddings, packing, quality_rules, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
     "op2_secrets": secrets.op2_secrets,
+    "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_simhash": simhash.op8_simhash,
     "op9_embeddings": embeddings.op9_embeddings,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_quality_rules": quality_rules.SQL,
+}
