@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import embeddings, packing, quality_model, quality_rules, secrets, simhash
+from textloom.llm import embeddings, packing, quality_model, quality_rules, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
     "op2_secrets": secrets.op2_secrets,
     "op4_quality_model": quality_model.op4_quality_model,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_simhash": simhash.op8_simhash,
     "op9_embeddings": embeddings.op9_embeddings,
