@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import embeddings, packing, quality_model, quality_rules, secrets, simhash, toxicity
+from textloom.llm import embeddings, packing, quality_model, quality_rules, secrets, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
@@ -16,8 +16,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_simhash": simhash.op8_simhash,
     "op9_embeddings": embeddings.op9_embeddings,
+    "op10_warc": warc.op10_warc,
 }
 
 SQL: dict[str, str] = {
     "op7_quality_rules": quality_rules.SQL,
+    "op10_warc": warc.SQL,
 }
