@@ -27,9 +27,10 @@ def repetition_score(text: Column) -> Column:
 
 def prefix_overlap(prefix: Column, text: Column) -> Column:
     """Share of a text's words that its prefix has; a text without words: 1."""
-    full = words(F.lower(text))
-    new = F.size(F.filter(full, lambda w: ~F.array_contains(F.array_distinct(words(F.lower(prefix))), w)))
-    return F.when(F.size(full) == 0, 1.0).otherwise(1 - new / F.size(full))
+    # the struct binds both arrays once; written into the lambda they would be built again for every word
+    bound = F.array(F.struct(words(F.lower(text)).alias("full"), F.array_distinct(words(F.lower(prefix))).alias("own")))
+    ratio = lambda s: F.when(F.size(s["full"]) == 0, 1.0).otherwise(1 - F.size(F.filter(s["full"], lambda w: ~F.array_contains(s["own"], w))) / F.size(s["full"]))
+    return F.get(F.transform(bound, ratio), F.lit(0))
 
 
 def alpha_ratio(text: Column) -> Column:

@@ -90,16 +90,16 @@ def add_noise(df: DataFrame, text: str, kernel: Column, seed: int | str, key: Co
     # each run is dropped or not by one bit of a draw of its own; the first that is dropped counts
     coins = F.transform("__runs", lambda _, i: draw(seed, key, F.concat(F.lit(f"{purpose}:run"), i.cast("string"))) % 2 == 0)
     df = df.withColumn("__run", F.coalesce(F.array_position(coins, True).cast("int") - 1, F.lit(-1)))
-    df = df.withColumns({"__word": F.get("__words", F.col("__n")), "__gaps": gaps})
+    df = df.withColumns({"__word": F.get("__words", F.col("__n")), "__gaps": gaps, "__between": F.when(F.col("__run") >= 0, between)})
     new = F.lit(None).cast("string")
     for k in KERNELS[:-1]:
         new = F.when(F.col("__k") == k, change_word(k, F.col("__word"), F.col("__at"), F.col("__letter"))).otherwise(new)
     new = F.when(F.col("__k") == "repeat_drop", change_word("delete", F.col("__word"), F.col("__at"), F.col("__letter"))).otherwise(new)
     last = F.size("__words")
     spliced = F.concat(_weave(F.col("__gaps"), F.col("__words"), F.lit(0), F.col("__n")), new, _weave(F.col("__gaps"), F.col("__words"), F.col("__n") + 1, last))
-    dropped = F.concat(_weave(between, F.col("__runs"), F.lit(0), F.col("__run")), F.substring(F.get("__runs", F.col("__run")), 1, 1), _weave(between, F.col("__runs"), F.col("__run") + 1, F.size("__runs")))
+    dropped = F.concat(_weave(F.col("__between"), F.col("__runs"), F.lit(0), F.col("__run")), F.substring(F.get("__runs", F.col("__run")), 1, 1), _weave(F.col("__between"), F.col("__runs"), F.col("__run") + 1, F.size("__runs")))
     df = df.withColumn(out, F.when((F.col("__k") == "repeat_drop") & (F.col("__run") >= 0), dropped).when(last == 0, F.col(text)).otherwise(F.coalesce(spliced, F.col(text))))
-    return df.drop("__k", "__words", "__at", "__letter", "__runs", "__n", "__run", "__word", "__gaps")
+    return df.drop("__k", "__words", "__at", "__letter", "__runs", "__n", "__run", "__word", "__gaps", "__between")
 
 
 TOKEN = re.compile(r"\w+(?:'\w+)?|[^\w\s]")

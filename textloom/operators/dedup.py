@@ -8,16 +8,24 @@ from pyspark.sql import functions as F
 from textloom.functions.text import normalized_hash, text_hash
 
 
+def first_of(df: DataFrame, key: str, order: str) -> DataFrame:
+    """Of rows with one key the first in order stays. The aggregate combines before the shuffle and the winner is joined
+    back, so no key's rows are gathered."""
+    first = df.groupBy(key).agg(F.min(order).alias("__first"))
+    return df.join(first, key).where(F.col(order) == F.col("__first")).drop("__first")
+
+
 def drop_duplicates(df: DataFrame, text: str, order: str, normalise: bool = True) -> DataFrame:
-    """Of rows with one (normalised) text the first in order stays. Narrow: only hashes and orders meet in the aggregate,
-    which combines before the shuffle; the winner is joined back, so no key's rows are gathered."""
-    keyed = df.withColumn("__hash", (normalized_hash if normalise else text_hash)(F.col(text)))
-    first = keyed.groupBy("__hash").agg(F.min(order).alias("__first"))
-    return keyed.join(first, "__hash").where(F.col(order) == F.col("__first")).drop("__hash", "__first")
+    """Of rows with one (normalised) text the first in order stays."""
+    return first_of(df.withColumn("__hash", (normalized_hash if normalise else text_hash)(F.col(text))), "__hash", order).drop("__hash")
+
+
+def written(earlier: DataFrame, normalise: bool = True) -> DataFrame:
+    """(__hash): the (normalised) hashes of the texts of earlier (base_text)."""
+    return earlier.where(F.trim("base_text") != "").select((normalized_hash if normalise else text_hash)(F.col("base_text")).alias("__hash")).distinct()
 
 
 def not_written(df: DataFrame, earlier: DataFrame, text: str, normalise: bool = True) -> DataFrame:
     """Rows whose (normalised) text no row of earlier (base_text) has."""
-    of = normalized_hash if normalise else text_hash
-    seen = earlier.where(F.trim("base_text") != "").select(of(F.col("base_text")).alias("__hash")).distinct()
-    return df.withColumn("__hash", of(F.col(text))).join(seen, "__hash", "left_anti").drop("__hash")
+    keyed = df.withColumn("__hash", (normalized_hash if normalise else text_hash)(F.col(text)))
+    return keyed.join(written(earlier, normalise), "__hash", "left_anti").drop("__hash")

@@ -30,8 +30,8 @@ def shares(records: DataFrame, keys: list[str], value: str, where: Column | None
     Counts of (keys, value) are combined before the shuffle, so what is gathered is one row for each different value."""
     rows = records if where is None else records.where(where)
     counts = rows.groupBy(*keys, value).agg(F.count("*").alias("n"))
-    packed = counts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col(value).alias("v")))).alias("e"), F.sum("n").alias("all"))
-    return packed.select(*keys, F.map_from_entries(F.transform("e", lambda x: F.struct(x["v"], F.round(-x["n"] / F.col("all"), 4)))).alias("shares"))
+    packed = counts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col(value).alias("v")))).alias("e"), F.sum("n").alias("__all"))
+    return packed.select(*keys, F.map_from_entries(F.transform("e", lambda x: F.struct(x["v"], F.round(-x["n"] / F.col("__all"), 4)))).alias("shares"))
 
 
 def summarize(records: DataFrame, keys: list[str]) -> DataFrame:

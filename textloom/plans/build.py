@@ -13,11 +13,25 @@ from pyspark.sql import functions as F
 from textloom.config import BUCKETS, BuildConfig
 from textloom.functions.hashing import digest, uniform
 from textloom.functions.noise import augment
-from textloom.functions.text import clean_text, combine, is_text_model, join_span, mixed_final, split_sentences, text_hash, word_count
+from textloom.functions.text import clean_text, combine, is_text_model, join_span, mixed_final, normalized_hash, split_sentences, text_hash, word_count
 from textloom.operators import dedup, generation, ranking, sampling
 from textloom.operators.filters import is_garbage, not_empty, quality_reason
 from textloom.operators.pools import Entry
 
+def keep(df: DataFrame, condition: Column) -> DataFrame:
+    """df.where(condition) over columns that are costly to compute: the row number is not deterministic, so the optimiser
+    does not write the columns' expressions into the filter, where each of their inputs would be computed again."""
+    return df.withColumn("__at", F.monotonically_increasing_id()).where(condition & (F.col("__at") >= 0)).drop("__at")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """df computed once: a reliable checkpoint where the session has a shared folder for it, else kept by the executors."""
+    spark = df.sparkSession
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return df.checkpoint(eager=True)
+    return df.persist()
+
+
 OFFLINE = [Entry("offline", "offline-text", 1.0)]
 
 
@@ -28,7 +42,8 @@ def prepare(docs: DataFrame, cfg: BuildConfig, normalise: bool = True) -> DataFr
     if cfg.max_documents_scan is not None:
         df = ranking.first_rows(df, [], "seq", cfg.max_documents_scan)
     df = df.withColumn("__clean", clean_text(F.col("text"), normalise)).withColumn("sents", split_sentences(F.col("__clean")))
-    df = df.withColumn("__garbage", is_garbage(F.col("sents"))).where(~F.col("__garbage"))
+    df = df.withColumn("__garbage", is_garbage(F.col("sents")))
+    df = keep(df, ~F.col("__garbage"))
     df = df.withColumn("split", sampling.assign_split(cfg.random_seed, key, cfg.split_ratios, cfg.stress_fraction))
     return df.withColumn("stress_mode", F.col("split") == "stress").drop("__clean", "__garbage", "text")
 
@@ -139,20 +154,37 @@ def record(kind: str, cfg: BuildConfig) -> Column:
 
 def build_pairs(docs: DataFrame, cfg: BuildConfig, train: list[Entry] = OFFLINE, stress: list[Entry] = (), provider: generation.Provider | None = None, earlier: DataFrame | None = None, offsets: DataFrame | None = None) -> DataFrame:
     """Human rows, and with skip_ai off a machine row beside each; a pair is kept only if both sides pass."""
-    df = add_human(prepare(docs, cfg), cfg).where("h_reason = 'ok'")
-    kinds = ["human"]
+    df = keep(add_human(prepare(docs, cfg), cfg), F.col("h_reason") == "ok")
+    bases = {"human": "h_base"}
     if not cfg.skip_ai:
-        df = add_machine(df, cfg, list(train), list(stress), provider).where("a_reason = 'ok'")
-        kinds.append("direct_ai")
-    for base in ("h_base", "a_base")[: len(kinds)]:
-        df = dedup.drop_duplicates(df, base, "seq", cfg.dedup_normalize_text)
+        df = keep(add_machine(df, cfg, list(train), list(stress), provider), F.col("a_reason") == "ok")
+        bases["direct_ai"] = "a_base"
+    df = settle(df)
+    # only narrow rows decide: order, hashes, domain and split
+    of = normalized_hash if cfg.dedup_normalize_text else text_hash
+    rows = df.select("seq", "doc_id", "domain", "split", *[of(F.col(b)).alias(k) for k, b in bases.items()])
+    for k in bases:
+        rows = dedup.first_of(rows, k, "seq")
         if earlier is not None:
-            df = dedup.not_written(df, earlier, base, cfg.dedup_normalize_text)
-    df = ranking.domain_balanced(df, "domain", "seq", cfg.domain_quotas, uniform(cfg.random_seed, F.col("doc_id"), "balance"))
+            rows = rows.join(dedup.written(earlier, cfg.dedup_normalize_text).withColumnRenamed("__hash", k), k, "left_anti")
+    rows = ranking.domain_balanced(rows, "domain", "seq", cfg.domain_quotas, uniform(cfg.random_seed, F.col("doc_id"), "balance"))
     if cfg.num_pairs is not None:
-        df = ranking.first_rows(df, [], "seq", cfg.num_pairs)
-    rows = df.select("seq", F.posexplode(F.array(*[record(k, cfg) for k in kinds])).alias("place", "r")).select("seq", "place", "r.*")
-    return ranking.with_ids(rows, "split", "seq", cfg.id_prefix, offsets=offsets, ties=("place",)).drop("seq", "place")
+        rows = ranking.first_rows(rows, [], "seq", cfg.num_pairs)
+    return _with_records(df, ranking.numbered(rows, ["split"], "seq", "__number").select("seq", "__number"), [F.lit(k) for k in bases], cfg, offsets)
+
+
+def _with_records(df: DataFrame, chosen: DataFrame, kinds: list[Column], cfg: BuildConfig, offsets: DataFrame | None) -> DataFrame:
+    """The records of the chosen documents (seq, __number within the split): one for each of kinds, with dense ids."""
+    rows = df.join(chosen, "seq")
+    if offsets is not None:
+        rows = rows.join(F.broadcast(offsets.select("split", F.col("last").alias("__last"))), "split", "left")  # one row for each split
+    else:
+        rows = rows.withColumn("__last", F.lit(0).cast("long"))
+    made = {k: record(k, cfg) for k in (BUCKETS if "m_base" in df.columns else BUCKETS[:2] if "a_base" in df.columns else BUCKETS[:1])}
+    pick = lambda kind: F.coalesce(*[F.when(kind == k, r) for k, r in made.items()])
+    number = (F.col("__number") - 1) * len(kinds) + F.col("place") + 1 + F.coalesce("__last", F.lit(0))
+    out = rows.select("__number", "__last", F.posexplode(F.array(*[pick(k) for k in kinds])).alias("place", "r"))
+    return out.select(F.format_string("%s_%s_%06d", F.lit(cfg.id_prefix), F.col("r.split"), number).alias("id"), "r.*")
 
 
 def assign_quotas(df: DataFrame, targets: dict[str, int], seq: str = "seq", order: str = "buckets", ok: str = "ok") -> DataFrame:
@@ -188,12 +220,15 @@ def build_quotas(docs: DataFrame, cfg: BuildConfig, train: list[Entry] = OFFLINE
     df = add_mixed(add_hard(df, cfg, list(rewriters or train), provider), cfg)
     passed = F.create_map(*[x for b, c in zip(BUCKETS, ("h", "a", "r", "m"), strict=True) for x in (F.lit(b), F.col(f"{c}_reason") == "ok")])
     df = df.withColumns({"buckets": sampling.bucket_order(cfg.random_seed, F.col("doc_id")), "ok": passed})
-    df = assign_quotas(df, cfg.sample_targets or {}, "seq")
-    rows = df.select("seq", F.coalesce(*[F.when(F.col("bucket") == b, record(b, cfg)) for b in BUCKETS]).alias("r")).select("seq", "r.*")
-    rows = dedup.drop_duplicates(rows, "base_text", "seq", cfg.dedup_normalize_text)
+    of = normalized_hash if cfg.dedup_normalize_text else text_hash
+    text = F.create_map(*[x for b, c in zip(BUCKETS, ("h", "a", "r", "m"), strict=True) for x in (F.lit(b), of(F.col(f"{c}_base")))])
+    df = settle(df.withColumn("hashes", text))
+    rows = assign_quotas(df.select("seq", "split", "buckets", "ok", "hashes"), cfg.sample_targets or {}, "seq")
+    rows = dedup.first_of(rows.select("seq", "split", "bucket", F.col("hashes")[F.col("bucket")].alias("__hash")), "__hash", "seq")
     if earlier is not None:
-        rows = dedup.not_written(rows, earlier, "base_text", cfg.dedup_normalize_text)
-    return ranking.with_ids(rows, "split", "seq", cfg.id_prefix, offsets=offsets).drop("seq")
+        rows = rows.join(dedup.written(earlier, cfg.dedup_normalize_text), "__hash", "left_anti")
+    chosen = ranking.numbered(rows, ["split"], "seq", "__number").select("seq", "bucket", "__number")
+    return _with_records(df, chosen, [F.col("bucket")], cfg, offsets)
 
 
 def build(docs: DataFrame, cfg: BuildConfig, **more: Any) -> DataFrame:
