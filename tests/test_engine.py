@@ -95,16 +95,21 @@ def test_chat_server_rules(monkeypatch):
     assert generation.retry_after({"retry-after": "Thu, 01 Jan 1970 00:00:10 GMT"}, now=lambda: 4.0) == 6.0
 
 
-class Broken:
-    def complete(self, request):
-        if request["prompt"] == "bad":
-            raise RuntimeError("no")
-        return request["prompt"].upper(), {"provider": "offline"}
+def broken():
+    """A provider that workers get by value: they can't import this test."""
+
+    class Broken:
+        def complete(self, request):
+            if request["prompt"] == "bad":
+                raise RuntimeError("no")
+            return request["prompt"].upper(), {"provider": "offline"}
+
+    return Broken()
 
 
 def test_generate_keeps_failures_as_rows(spark):
     df = spark.createDataFrame([("offline", "m", p, "", False, 0.1, 0.2, 1.0, 5) for p in ("good", "bad")], "provider string, model string, prompt string, system string, raw boolean, temperature double, top_p double, repeat_penalty double, max_tokens int")
-    rows = {r.prompt: r for r in generation.generate(df, Broken()).collect()}
+    rows = {r.prompt: r for r in generation.generate(df, broken()).collect()}
     assert rows["good"].completion == "GOOD" and rows["good"].error is None
     assert rows["bad"].completion is None and "no" in rows["bad"].error
 
@@ -175,7 +180,7 @@ def test_quotas_all_kinds_and_provider(spark):
     rows = build.build_quotas(corpus(spark), replace(CFG, sample_targets=dict.fromkeys(BUCKETS, 2), dedup_normalize_text=False)).collect()
     assert {r.sample_kind for r in rows} == set(BUCKETS)
     assert all("\n\n" in r.base_text and r.mixed_joiner for r in rows if r.sample_kind == "mixed")
-    assert build.build_quotas(corpus(spark, 6), replace(CFG, sample_targets=dict.fromkeys(BUCKETS, 1)), provider=Broken()).count() >= 1
+    assert build.build_quotas(corpus(spark, 6), replace(CFG, sample_targets=dict.fromkeys(BUCKETS, 1)), provider=broken()).count() >= 1
 
 
 def test_empty_input(spark):
@@ -193,7 +198,7 @@ def test_write_append_and_state(spark, tmp_path):
     assert build.build_pairs(corpus(spark), CFG, earlier=back).count() == 0
     sinks.save_counts(tmp_path / "c.json", {"human": 3}, None)
     assert state.load_counts(tmp_path / "c.json") == {"human": 3, "direct_ai": 0, "hard_ai": 0, "mixed": 0} and state.load_counts(tmp_path / "none") is None
-    s = summary.summarize(rows.withColumn("all", F.lit(1)), ["all"]).first()
+    s = summary.summarize(rows.withColumn("every", F.lit(1)), ["every"]).first()
     assert s.num_human == s.num_ai and s.label_balance_ai_share == 0.5 and s.domains == {"web": 1.0}
     with sinks.output_lock(tmp_path / "l"):
         pass

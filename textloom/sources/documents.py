@@ -81,11 +81,13 @@ def coarse_domain(subset: Column, mapping: dict[str, str], default: str = "web")
 
 
 def as_documents(rows: DataFrame, *, text_field: str = "text", meta_field: str = "meta", id_field: str = "id", id_prefix: str = "doc", mapping: dict[str, str] | None = None, default_domain: str = "web") -> DataFrame:
-    """(text, doc_id, subset, domain) of rows with a text; rows without an id get a number of their partition and place."""
+    """(text, doc_id, subset, domain) of rows with a text; rows without an id get a number of their partition and place (in a stream a hash of the text)."""
     kinds = dict(rows.dtypes)
     texts = [F.nullif(F.col(c).cast("string"), F.lit("")) for c in dict.fromkeys((text_field, "text")) if c in kinds]
     text = F.coalesce(*texts) if texts else F.lit(None).cast("string")
-    number = F.concat(F.lit(f"{id_prefix}_"), F.monotonically_increasing_id().cast("string"))
+    # a stream has no row numbers: there the text names itself
+    own = F.substring(F.sha2(text, 256), 1, 16) if rows.isStreaming else F.monotonically_increasing_id().cast("string")
+    number = F.concat(F.lit(f"{id_prefix}_"), own)
     doc_id = F.coalesce(F.col(id_field).cast("string"), number) if id_field in kinds else number
     subset = subset_name(parse_meta(F.col(meta_field), kinds[meta_field])) if meta_field in kinds else F.lit(None).cast("string")
     out = rows.select(text.alias("text"), doc_id.alias("doc_id"), subset.alias("subset"))
