@@ -67,8 +67,11 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = TABLE) -> DataFrame:
     reason = F.when(base_failed(), "base")
     for r in rules:
         reason = reason.when(F.expr(broken(r, INNER)), r.name)
-    kept = ~base_failed() & F.expr(verdict(rules, INNER))
-    return counted.select("doc_id", *COUNTS, base_failed().alias("base_failed"), kept.alias("kept"), reason.alias("reason"))
+    # true, but not deterministic: a caller's filter on these columns is not written into the projections below, where
+    # every count would be computed again for each word
+    barrier = F.monotonically_increasing_id() >= 0
+    kept = ~base_failed() & F.expr(verdict(rules, INNER)) & barrier
+    return counted.select("doc_id", *COUNTS, (base_failed() & barrier).alias("base_failed"), kept.alias("kept"), reason.alias("reason"))
 
 
 def filter_docs(docs: DataFrame, rules: tuple[Rule, ...] = TABLE) -> DataFrame:
