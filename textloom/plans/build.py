@@ -112,7 +112,7 @@ def add_hard(df: DataFrame, cfg: BuildConfig, pool: list[Entry], provider: gener
         held = df.select(*[F.col(c).alias(f"__{c}") if c in own else F.col(c) for c in df.columns])
         asked = held.withColumns({"provider": F.col("r_provider"), "model": F.col("r_model"), "prompt": F.col("a_base"), "system": F.col("style.system"), "raw": F.lit(False), **{n: params[n] for n in own[5:]}})
         done = generation.generate(asked, provider, "__rewrite", "__meta", "__error").drop("__error", *own)
-        df = done.select(*[F.col(c).alias(c[2:]) if c[2:] in own else F.col(c) for c in done.columns])
+        df = done.select(*[F.col(c).alias(c[2:]) if c.startswith("__") and c[2:] in own else F.col(c) for c in done.columns])
         meta = F.col("__meta")
     df = df.withColumns({"rewrite_params": F.struct(*[meta[n].alias(n) for n in ("provider", "temperature", "top_p", "repeat_penalty", "max_tokens")], F.lit("rewrite").alias("rewrite_stage"), F.col("style.style").alias("rewrite_style")), "r_base": generation.post_process(F.col("__rewrite"))}).drop("__rewrite", "__meta")
     df = _augmented(df, "r_base", cfg, "hard", "r_final")
