@@ -1,0 +1,52 @@
+"""Near copies of the pipeline's stage against brute force."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from textloom.llm import copies
+
+rng = random.Random(9)
+WORDS = [f"{a}{b}" for a in "ka lo mi nu pe ra so tu ve wi".split() for b in "ra te li mo du".split()]
+
+
+def jaccard(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := t.lower().split()) else set() for t in (a, b))
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def texts():
+    out = ["", " ", "one two", "One TWO", "one two three"]
+    for _ in range(25):
+        base = [rng.choice(WORDS) for _ in range(rng.randint(40, 120))]
+        out.append(" ".join(base))
+        for changes in (1, 2, 3, 4):
+            near = list(base)
+            for i in rng.sample(range(len(near)), changes):
+                near[i] = rng.choice(WORDS)
+            out.append(" ".join(near))
+    common = " ".join(rng.choice(WORDS) for _ in range(20))
+    return out + [common + " " + " ".join(rng.choice(WORDS) for _ in range(30)) for _ in range(30)] + out[5:9]
+
+
+@pytest.mark.parametrize("buckets", [copies.BUCKETS, 1])
+def test_stage_links_are_the_pairs_at_the_similarity(spark, monkeypatch, buckets):
+    monkeypatch.setattr(copies, "BUCKETS", buckets)
+    held = texts()
+    up = list(range(len(held)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(held)):
+        for j in range(i):
+            if jaccard(held[i], held[j]) >= 0.8:
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+    df = spark.createDataFrame(list(enumerate(held)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in copies.near_copies(df).collect()} == {i: root(i) for i in range(len(held))}
+    stage = dict(corpus_pipeline.STAGES)["simhash"]
+    assert sorted(r.doc_id for r in stage(spark, df, "").collect()) == sorted({root(i) for i in range(len(held))})

@@ -1,0 +1,191 @@
+"""Near copies by exact Jaccard similarity of five-word shingles; the pipeline's SimHash stage decides by it.
+
+At a similarity of 0.8 fingerprints differ in 10 of 64 bits and often more, so no radius keeps all copies and few others. Here
+every pair of texts at or above `JACCARD` is a link and no other pair is one. Candidates come from prefixes: with the shingles
+of all texts in one order, two texts that similar share one of the first (1 - JACCARD) * n + 1 of each. Any order is right;
+rare ones come first (by counts of shingles in `BUCKETS` hash buckets), so passages that many texts hold seldom are in a prefix.
+Each candidate pair is then verified on both whole texts.
+
+Scale: texts with equal shingles are one row before any comparison. A first round verifies for each shared prefix shingle as
+many pairs as it has texts, at most twice; the second only pairs between components of the first, so groups of near copies do
+not make the square of their size. Texts are not shuffled; of what is exploded, only shingles that two texts share go on. The
+ids of texts in candidate pairs are broadcast.
+
+Defined cases: texts without words are copies of each other; up to five words are one shingle; case is folded for ASCII.
+Shingles are equal when their 64-bit hashes are.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from textloom.llm.common import cut, utf8_lists
+from textloom.llm.graph import components
+from textloom.llm.simhash import text_hash
+
+SHINGLE, BUCKETS, CACHE_WORDS = 5, 1 << 17, 500_000
+#: The similarity of a link, as a fraction.
+JACCARD = (4, 5)
+
+
+class Shingles:
+    """Sorted different 64-bit hashes of the shingles of a UTF-8 text."""
+
+    def __init__(self, size: int = SHINGLE):
+        self.size, self.known = size, {}
+
+    def __call__(self, text: bytes) -> np.ndarray:
+        words = text.lower().split()
+        if len(self.known) >= CACHE_WORDS:
+            self.known.clear()
+        known = self.known
+        for x in words:
+            if x not in known:
+                known[x] = xxhash.xxh64_intdigest(x, 42)
+        w = np.fromiter((known[x] for x in words), np.uint64, len(words))
+        n = max(min(1, len(w)), len(w) - self.size + 1)
+        h = np.full(n, min(len(w), self.size), np.uint64)
+        for k in range(min(self.size, len(w))):
+            h = (h ^ w[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(32)
+        return np.unique(h)
+
+
+def least_shared(a: int, b: int) -> int:
+    """Shingles that texts of a and b shingles share at least if they are that similar."""
+    p, q = JACCARD
+    return -(-p * (a + b) // (p + q))
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    return len(np.intersect1d(a, b, assume_unique=True)) >= least_shared(len(a), len(b))
+
+
+def bucket_counts(docs: DataFrame) -> np.ndarray:
+    """How many texts' shingles are in each hash bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, of = np.zeros(BUCKETS, np.int64), Shingles()
+        for (texts,) in utf8_lists(batches):
+            for x in texts:
+                np.add.at(total, (of(x) % BUCKETS).astype(np.int64), 1)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["k", "n"])
+
+    out = np.zeros(BUCKETS, np.int64)
+    for k, n in docs.select(F.col("text").cast("string")).mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n")).collect():
+        out[k] = n
+    return out
+
+
+def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(doc_id, text_hash, set_id, n, prefix): set_id is a hash of the text's n shingles, prefix its rarest ones in order."""
+    p, q = JACCARD
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = Shingles()
+        for key, hashes, texts in utf8_lists(batches):
+            ids, sizes, first = [], [], []
+            for x in texts:
+                h = of(x)
+                ids.append(xxhash.xxh64_intdigest(h.tobytes(), 42))
+                sizes.append(len(h))
+                first.append(h[np.lexsort((h, counts[(h % BUCKETS).astype(np.int64)]))[: len(h) - -(-p * len(h) // q) + 1]].view(np.int64))
+            rows = pa.ListArray.from_arrays(np.cumsum([0, *map(len, first)]).astype(np.int32), np.concatenate(first))
+            yield pa.RecordBatch.from_arrays([key, hashes, pa.array(np.array(ids, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), rows], names=["doc_id", "text_hash", "set_id", "n", "prefix"])
+
+    return docs.select(F.col("doc_id").cast("long"), text_hash().alias("text_hash"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, text_hash long, set_id long, n long, prefix array<long>")
+
+
+def fits(n: np.ndarray, at: np.ndarray, i: int, j: np.ndarray) -> np.ndarray:
+    """Which of texts j can be similar to i, if this shingle, at places at, is the first that they share."""
+    p, q = JACCARD
+    return np.minimum(n[i] - at[i], n[j] - at[j]) >= -(-p * (n[i] + n[j]) // (p + q))
+
+
+def candidates(groups: DataFrame, every: bool) -> DataFrame:
+    """Pairs (a, b), a > b, of groups (members: id, n, at, component): neighbours by size and all with the first; every: all of different components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: set[tuple[int, int]] = set()
+            for row in batch.column(0):
+                m = row.values
+                ids, n, at, own = (m.field(c).to_numpy(zero_copy_only=False) for c in ("id", "n", "at", "component"))
+                order = np.lexsort((ids, n))
+                ids, n, at, own = ids[order], n[order], at[order], own[order]
+                for i in range(len(ids) - 1):
+                    j = np.arange(i + 1, len(ids))
+                    j = j[own[j] != own[i]] if every else j if i == 0 else j[:1]
+                    for x in ids[j[fits(n, at, i, j)]].tolist():
+                        found.add((max(x, int(ids[i])), min(x, int(ids[i]))))
+                if len(found) > 200_000:
+                    yield batch_of(found)
+                    found.clear()
+            yield batch_of(found)
+
+    def batch_of(found: set) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return groups.select("members").mapInArrow(run, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The pairs (a, b) of set ids that are similar; keys (set_id, text_hash) gives one text of each."""
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(keys, "set_id"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = Shingles()
+        for key, texts in utf8_lists(batches):
+            for i, x in enumerate(texts):
+                yield pa.RecordBatch.from_arrays([key.slice(i, 1), pa.array([of(x).view(np.int64)], pa.list_(pa.int64()))], names=["set_id", "shingles"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column(2), batch.column(3)
+            good = [similar(a[i].values.to_numpy(), b[i].values.to_numpy()) for i in range(batch.num_rows)]
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    texts = docs.select(text_hash().alias("text_hash"), F.col("text").cast("string")).join(F.broadcast(wanted), "text_hash").select("set_id", "text")
+    of = cut(texts.mapInArrow(sets, "set_id long, shingles array<long>").dropDuplicates(["set_id"]))
+    both = pairs.join(of.select(F.col("set_id").alias("a"), F.col("shingles").alias("x")), "a").join(of.select(F.col("set_id").alias("b"), F.col("shingles").alias("y")), "b")
+    return cut(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, component_id) for each row of docs (doc_id, text): the smallest doc_id reachable by links."""
+    prints = cut(prefixes(docs, bucket_counts(docs)))
+    keys = cut(prints.groupBy("set_id").agg(F.min("text_hash").alias("text_hash"), F.min("doc_id").alias("least")))
+    distinct = prints.groupBy("set_id", "n").agg(F.first("prefix").alias("prefix"))
+    member = F.struct(F.col("set_id").alias("id"), "n", "at", F.col("set_id").alias("component"))
+    groups = cut(distinct.select("set_id", "n", F.posexplode("prefix").alias("at", "s")).groupBy("s").agg(F.collect_list(member).alias("members")).where(F.size("members") > 1))
+    first = cut(candidates(groups, False))
+    links = verified(first, docs, keys.select("set_id", "text_hash"))
+    so_far = components(links).select(F.col("vertex").alias("id"), F.col("component").alias("c"))
+    again = groups.select("s", F.inline("members")).join(so_far, "id", "left")
+    again = again.groupBy("s").agg(F.collect_list(F.struct("id", "n", "at", F.coalesce("c", "component").alias("component"))).alias("members"))
+    rest = cut(candidates(again, True).join(first, ["a", "b"], "left_anti"))
+    links = links.unionAll(verified(rest, docs, keys.select("set_id", "text_hash")))
+    of = components(links).withColumnRenamed("vertex", "set_id")
+    joined = cut(keys.join(of, "set_id", "left").select("set_id", "least", F.coalesce("component", "set_id").alias("component")))
+    least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
+    return prints.select("doc_id", "text_hash", "set_id").join(joined.join(least, "component").select("set_id", "component_id"), "set_id").drop("set_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of docs without near copies: of each component the row with its smallest doc_id stays, unchanged.
+
+    Of several rows with that id the one with the smallest text hash stays; rows without a doc_id stay."""
+    keys = near_copies(docs).where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.min("text_hash").alias("__hash"))
+    keyed = docs.where("doc_id is not null").withColumns({"__id": F.col("doc_id").cast("long"), "__hash": text_hash()})
+    first = Window.partitionBy("__id", "__hash").orderBy("__id")
+    kept = keyed.join(keys, ["__id", "__hash"]).withColumn("__n", F.row_number().over(first)).where("__n = 1")
+    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
