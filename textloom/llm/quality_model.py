@@ -5,7 +5,8 @@ lasso logistic regression over rules and clipped linear terms keeps few of them;
 column expression. Scoring is native and reads each whole text once.
 
 Scale: statistics are computed once for all documents in one pass (no shuffle) and checkpointed as narrow rows. The fit
-takes at most about `FIT_ROWS` labelled rows of each class, chosen by a seeded hash of the id; everything else covers all rows.
+takes at most about `FIT_ROWS` labelled rows of each class, chosen by a seeded hash of the id and
+weighted by the inverse of their class's share, so scores mean the same at every size; everything else covers all rows.
 
 Defined cases: null text is an empty one and is scored as such; without labelled rows of both classes the score is the
 share of the one class there is, or 0.5; null ids are never labelled and are not held out; an empty table gives no row;
@@ -33,10 +34,15 @@ def remainder(key: Column, modulus: int) -> Column:
     return F.crc32(key.cast("long").cast("string")) % modulus
 
 
-def sampled(labelled: DataFrame, label: str, rows: int = FIT_ROWS) -> DataFrame:
-    """At most about rows rows of each class (label 0 or 1) of labelled (doc_id, label), by a seeded hash of doc_id."""
+def shares(labelled: DataFrame, label: str, rows: int = FIT_ROWS) -> tuple[float, float]:
+    """The sampling share of each class (label 0, 1) of labelled that leaves about rows rows of it at most."""
     counts = {r[0]: r[1] for r in labelled.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
-    share = F.when(F.col(label) == 1, F.lit(rows / max(1, counts.get(1, 1)))).otherwise(F.lit(rows / max(1, counts.get(0, 1))))
+    return tuple(min(1.0, rows / max(1, counts.get(c, 1))) for c in (0, 1))
+
+
+def sampled(labelled: DataFrame, label: str, share_of: tuple[float, float]) -> DataFrame:
+    """The rows of labelled (doc_id, label) of both classes, each class by its share, by a seeded hash of doc_id."""
+    share = F.when(F.col(label) == 1, F.lit(share_of[1])).otherwise(F.lit(share_of[0]))
     return labelled.where(F.col(label).isin(0, 1) & (F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20)) < share * (1 << 20)))
 
 
@@ -82,13 +88,14 @@ def holds(rule: Rule, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def lasso(a: np.ndarray, y: np.ndarray, strength: float, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic regression with an L1 penalty, by accelerated proximal gradients."""
+def lasso(a: np.ndarray, y: np.ndarray, strength: float, steps: int = 400, weight: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic regression with an L1 penalty, by accelerated proximal gradients. weight: of the rows."""
     n, k = a.shape
+    weight = np.ones(n) if weight is None else weight / weight.mean()
     w, b, vw, vb, t = np.zeros(k), 0.0, np.zeros(k), 0.0, 1.0
-    rate = 4.0 * n / (np.linalg.norm(a, 2) ** 2 + n)
+    rate = 4.0 * n / (np.linalg.norm(a * np.sqrt(weight)[:, None], 2) ** 2 + n)
     for _ in range(steps):
-        r = 1 / (1 + np.exp(-(a @ vw + vb))) - y
+        r = weight * (1 / (1 + np.exp(-(a @ vw + vb))) - y)
         nw = vw - rate * (a.T @ r) / n
         nw, nb = np.sign(nw) * np.maximum(np.abs(nw) - rate * strength, 0), vb - rate * r.mean()
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -97,30 +104,33 @@ def lasso(a: np.ndarray, y: np.ndarray, strength: float, steps: int = 400) -> tu
     return w, b
 
 
-def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, strength: float = LASSO) -> dict:
-    """The ensemble: bias, rules with weights, and linear terms (feature, low, high, scale, weight)."""
+def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, strength: float = LASSO, weight: np.ndarray | None = None) -> dict:
+    """The ensemble: bias, rules with weights, and linear terms (feature, low, high, scale, weight). weight: of the rows."""
     if not len(y) or y.min() == y.max():
         p = min(max(float(y.mean()), 1e-3), 1 - 1e-3) if len(y) else 0.5
         return {"bias": float(np.log(p / (1 - p))), "rules": [], "linear": []}
     rng = np.random.default_rng(SEED)
-    cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
+    weight = np.ones(len(y)) if weight is None else weight / weight.mean()
+    how = {} if (weight == weight[0]).all() else {"method": "inverted_cdf", "weights": weight}
+    cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1], **how)) for f in range(x.shape[1])]
     cuts = [c[c < x[:, f].max()] for f, c in enumerate(cuts)]
-    score, found = np.full(len(y), np.log(y.mean() / (1 - y.mean()))), {}
+    score, found = np.full(len(y), np.log((weight * y).sum() / (weight * (1 - y)).sum())), {}
     for _ in range(trees):
         p = 1 / (1 + np.exp(-score))
         part = rng.random(len(y)) < 0.6
-        paths, tree = grow(x[part], (p - y)[part], (p * (1 - p) + 1e-6)[part], cuts, depth, max(5, len(y) // 400))
+        paths, tree = grow(x[part], (weight * (p - y))[part], (weight * (p * (1 - p) + 1e-6))[part], cuts, depth, max(5, len(y) // 400))
         score = score + 0.3 * predict(tree, x)
         for rule, gain, _ in paths:
             rule = tuple(sorted(rule))
             found[rule] = max(gain, found.get(rule, 0.0))
     rules = sorted(found, key=lambda r: (-found[r], r))[:300]
-    lo, hi = np.quantile(x, 0.025, axis=0), np.quantile(x, 0.975, axis=0)
+    lo, hi = (np.array([np.quantile(x[:, f], q, **how) for f in range(x.shape[1])]) for q in (0.025, 0.975))
     wide = np.flatnonzero(hi > lo)
-    scale = np.array([max(np.clip(x[:, f], lo[f], hi[f]).std(), 1e-9) / 0.4 for f in wide])
+    spread = lambda v: np.sqrt(np.average((v - np.average(v, weights=weight)) ** 2, weights=weight))
+    scale = np.array([max(spread(np.clip(x[:, f], lo[f], hi[f])), 1e-9) / 0.4 for f in wide])
     linear = np.clip(x[:, wide], lo[wide], hi[wide]) / scale - (lo[wide] + hi[wide]) / 2 / scale
     a = np.column_stack([linear, *[holds(r, x).astype(np.float64) for r in rules]])
-    w, b = lasso(a, y.astype(np.float64), strength)
+    w, b = lasso(a, y.astype(np.float64), strength, weight=weight)
     m = len(wide)
     return {"bias": float(b), "rules": [(r, float(v)) for r, v in zip(rules, w[m:], strict=True) if abs(v) > 1e-6], "linear": [(int(f), float(lo[f]), float(hi[f]), float(s), float(v)) for f, s, v in zip(wide, scale, w[:m], strict=True) if abs(v) > 1e-6]}
 
@@ -145,10 +155,11 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out:
     """(doc_id, held_out, score) of each row of docs; labels (doc_id, label) are learnt where held_out, a column over doc_id, is false."""
     held_out = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     stats = statistics(docs)
-    learnt = sampled(labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("__y")).where("doc_id is not null").where(~held_out), "__y", fit_rows)
+    known = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("__y")).where("doc_id is not null").where(~held_out)
+    learnt = sampled(known, "__y", share := shares(known, "__y", fit_rows))
     rows = stats.join(learnt, "doc_id").select("__y", *FEATURES).orderBy("__y", *FEATURES).collect()
     data = np.array([list(r) for r in rows], np.float64).reshape(-1, 1 + len(FEATURES))
-    model = fit(data[:, 1:], data[:, 0])
+    model = fit(data[:, 1:], data[:, 0], weight=np.where(data[:, 0] == 1, 1 / share[1], 1 / share[0]))
     return stats.select("doc_id", held_out.alias("held_out"), compile_score(model).alias("score"))
 
 

@@ -6,7 +6,8 @@ restored words are scored with log-odds of words and word beginnings that toxic
 logistic regression on a document's evidence gives the score. Words that the channel cannot change are their own decoding.
 
 Scale: the character counts are one bounded table (28**3 numbers) summed by Spark over all documents; texts are never
-shuffled, sampled label rows (at most about `FIT_ROWS` of each class) are broadcast, and the fitted tables are bounded by
+shuffled, sampled label rows (at most about `FIT_ROWS` of each class,
+weighted by the inverse of its share) are broadcast, and the fitted tables are bounded by
 `KEPT`. Decodings and word scores are cached in each worker in bounded dictionaries.
 
 Defined cases: null text is an empty one; texts without evidence get the score of no evidence; without labelled rows of
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm.common import table, utf8_lists
-from textloom.llm.quality_model import lasso, remainder, sampled
+from textloom.llm.quality_model import lasso, remainder, sampled, shares
 from textloom.llm.secrets import text_bytes
 
 FIT_ROWS, KEPT, LEAST_GAIN, CUTOFF, CACHE_WORDS = 4_000, 4_000, 8.0, 0.3, 500_000
@@ -151,8 +152,10 @@ def features(word: str) -> list[str]:
     return [f for w in word.split() for f in (w, *(w[:k] + "*" for k in BEGINNINGS if len(w) >= k))]
 
 
-def log_odds(docs: DataFrame, learnt: DataFrame, model: np.ndarray) -> dict[str, float]:
-    """Feature -> log-odds of the KEPT strongest features of labelled rows (doc_id, __y), each with a log-likelihood gain of LEAST_GAIN or more over chance."""
+def log_odds(docs: DataFrame, learnt: DataFrame, model: np.ndarray, clean_weight: float = 1.0) -> dict[str, float]:
+    """Feature -> log-odds of the KEPT strongest features of labelled rows (doc_id, __y), each with a log-likelihood gain of LEAST_GAIN or more over chance.
+
+    clean_weight: rows that a clean row stands for, for each that a toxic one does."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(model)
@@ -164,14 +167,15 @@ def log_odds(docs: DataFrame, learnt: DataFrame, model: np.ndarray) -> dict[str,
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(learnt), "doc_id").select(F.col("__y").cast("long"), "text")
     n = {r[0]: r[1] for r in learnt.groupBy("__y").count().collect()}
-    share = n.get(1, 0) / max(1, n.get(1, 0) + n.get(0, 0))
+    share = n.get(1, 0) / max(1, n.get(1, 0) + clean_weight * n.get(0, 0))
     if not 0 < share < 1:
         return {}
-    counts = rows.mapInArrow(run, "f string, y long").groupBy("f").agg(F.sum("y").cast("double").alias("t"), F.count("*").cast("double").alias("n")).where(F.col("t") > share * F.col("n"))
+    counts = rows.mapInArrow(run, "f string, y long").groupBy("f").agg(F.sum("y").cast("double").alias("t"), F.count("*").cast("double").alias("n"))
     odds = F.log((F.col("t") + 0.5) / (n.get(1, 0) + 1)) - F.log((F.col("n") - F.col("t") + 0.5) / (n.get(0, 0) + 1))
-    clean = F.col("n") - F.col("t")
-    gain = F.col("t") * F.log(F.col("t") / F.col("n") / share) + F.when(clean > 0, clean * F.log(clean / F.col("n") / (1 - share))).otherwise(0.0)
-    counts = counts.where(gain >= LEAST_GAIN)
+    clean = clean_weight * (F.col("n") - F.col("t"))
+    both = F.col("t") + clean
+    gain = F.col("t") * F.log(F.col("t") / both / share) + F.when(clean > 0, clean * F.log(clean / both / (1 - share))).otherwise(0.0)
+    counts = counts.where(F.col("t") > share * both).where(gain >= LEAST_GAIN)
     return {r.f: r.w for r in counts.select("f", odds.alias("w")).where("w > 1.5").orderBy(F.desc("w"), "f").limit(KEPT).collect()}
 
 
@@ -206,15 +210,16 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: Co
     """(doc_id, held_out, score) of each row of docs; labels (doc_id, label) are learnt where held_out, a column over doc_id, is false."""
     held_out = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     model = char_model(count_trigrams(docs))
-    learnt = sampled(labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("__y")).where("doc_id is not null").where(~held_out), "__y", fit_rows)
-    odds = log_odds(docs, learnt, model)
+    labelled = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("__y")).where("doc_id is not null").where(~held_out)
+    learnt = sampled(labelled, "__y", share := shares(labelled, "__y", fit_rows))
+    odds = log_odds(docs, learnt, model, share[1] / share[0])
     seen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(learnt), "doc_id").withColumn("y", F.col("__y"))
     rows = np.array([list(r) for r in evidence(seen, odds, model, ("y",)).orderBy("y", "most", "total").collect()], np.float64).reshape(-1, 3)
     y, most, total = rows.T
     if not len(y) or y.min() == y.max():
         return evidence(docs, {}, model).select("doc_id", held_out.alias("held_out"), F.lit(float(y.mean()) if len(y) else 0.5).alias("score"))
     a = np.column_stack([most / 8, np.log1p(total) / 4, most > 0])
-    w, b = lasso(a, y, 1e-4, 1500)
+    w, b = lasso(a, y, 1e-4, 1500, np.where(y == 1, 1 / share[1], 1 / share[0]))
     z = F.lit(float(b)) + F.lit(float(w[0])) * F.col("most") / 8 + F.lit(float(w[1])) * F.log1p("total") / 4 + F.when(F.col("most") > 0, float(w[2])).otherwise(0.0)
     return evidence(docs, odds, model).select("doc_id", held_out.alias("held_out"), (1 / (1 + F.exp(-z))).alias("score"))
 
