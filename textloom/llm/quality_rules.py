@@ -3,6 +3,9 @@
 Each row of the table bounds one ratio of counts (length, symbol, stop-word and line ratios). The table is compiled both
 to a Spark column and to SQL text; no user function, no Python, no shuffle runs on the main path.
 
+Different words grow more slowly than a text (in clean prose with a power of its words of a half or more), so above 1000 words
+their bound grows with the root of the words; below, it is a plain ratio.
+
 Defined cases: null text has no words, as an empty text; texts under ten words fail the base rule; a null doc_id stays
 null; repeated rows each give a row; an empty table gives no row; other columns are ignored, or kept by filter_docs.
 """
@@ -19,7 +22,9 @@ from textloom.llm.stats import STOP_WORDS, SYMBOLS, add_counts, add_ratios
 
 
 class Rule(NamedTuple):
-    """The ratio numerator / denominator must lie in [low, high] for texts of at least from_words words."""
+    """The ratio numerator / denominator must lie in [low, high] for texts of at least from_words words.
+
+    With root_from, a denominator d above it counts as sqrt(root_from * d): for a count that grows more slowly than the text."""
 
     name: str
     numerator: str
@@ -27,6 +32,7 @@ class Rule(NamedTuple):
     low: float | None
     high: float | None
     from_words: int = 0
+    root_from: int = 0
 
 
 TABLE = (
@@ -35,7 +41,7 @@ TABLE = (
     Rule("exclamations_a_word", "n_loud", "n_words", None, 0.3),
     Rule("capitals", "n_upper", "word_chars", None, 0.45),
     Rule("stop_words", "n_stop", "n_words", 0.03, None, 30),
-    Rule("different_words", "n_kinds", "n_words", 0.25, None, 20),
+    Rule("different_words", "n_kinds", "n_words", 0.25, None, 20, 1000),
     Rule("repeated_lines", "n_dup_lines", "n_lines", None, 0.4),
 )
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -44,6 +50,8 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 def broken(rule: Rule, named: dict[str, str]) -> str:
     """SQL text (Spark's and DuckDB's alike): true if a text with words breaks the rule. named: column of each count."""
     top, below = (f"cast({named.get(c, c)} as double)" for c in (rule.numerator, rule.denominator))
+    if rule.root_from:
+        below = f"least({below}, sqrt(cast({rule.root_from} as double) * {below}))"
     tests = [f"{top} {sign} cast({bound} as double) * {below}" for sign, bound in (("<", rule.low), (">", rule.high)) if bound is not None]
     return f"({named.get('n_words', 'n_words')} >= {max(1, rule.from_words)} and ({' or '.join(tests)}))"
 
