@@ -30,6 +30,8 @@ from textloom.llm.quality_model import lasso, remainder, sampled, shares
 from textloom.llm.secrets import text_bytes
 
 FIT_ROWS, KEPT, LEAST_GAIN, CUTOFF, CACHE_WORDS = 4_000, 4_000, 8.0, 0.3, 500_000
+#: Longer words are decoded anew each time, so that the bounded caches are small.
+CACHE_CHARS = 200
 #: Beginnings of a word that are features beside the whole word, in letters.
 BEGINNINGS = (4, 5, 6)
 #: Letters that a character may stand for (fixed values of common leetspeak).
@@ -45,7 +47,7 @@ CODES[97:123], CODES[65:91], CODES[128:] = np.arange(1, 27), np.arange(1, 27), 2
 _DISGUISE = "0-9@$!|+(€£" + re.escape(SEPARATORS)
 #: A letter, or a sign that can stand for one, on both sides of a sign; a sign that begins a word; a letter three times.
 SUSPECT = re.compile(rf"[a-z][{_DISGUISE}]+[a-z]|^[0-9@$!|+(€£][a-z0-9@$!|+(€£]*[a-z]|[a-z][0-9@$!|+(€£]+$|([a-z])\1\1")
-SPELT = re.compile(r"(?<!\S)[a-z0-9@$!|](?: [a-z0-9@$!|]){2,}(?!\S)")
+SPELT = re.compile(r"(?<!\S)[a-z0-9@$!|](?:[ \t\n\x0b\x0c\r]+[a-z0-9@$!|]){2,}(?!\S)")
 EDGE = ".,;:?\"')]}%&#*-_~^`<>/\\=[{"
 
 
@@ -104,9 +106,10 @@ def options(text: str) -> list[list[tuple[str, float]]]:
 
 def decode(text: str, model: np.ndarray) -> str:
     """The most likely string of a lattice under the character model; ties go to the option listed first."""
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    # what is done so far is a chain of strings, so a step costs the same at any length
+    best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     for place in [*options(text), [(" ", 0.0)]]:
-        new: dict[tuple[int, int], tuple[float, str]] = {}
+        new: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (cost, done) in best.items():
             for string, more in place:
                 x, y, total = a, b, cost + more
@@ -117,9 +120,13 @@ def decode(text: str, model: np.ndarray) -> str:
                     total += model[x, y, k]
                     x, y = y, k
                 if (x, y) not in new or total < new[x, y][0]:
-                    new[x, y] = (total, done + string)
+                    new[x, y] = (total, (done, string))
         best = new
-    return min(best.values(), key=lambda v: v[0])[1].strip()
+    chain, out = min(best.values(), key=lambda v: v[0])[1], []
+    while chain:
+        chain, string = chain
+        out.append(string)
+    return "".join(reversed(out)).strip()
 
 
 class Restorer:
@@ -131,8 +138,10 @@ class Restorer:
     def word(self, word: str) -> str:
         """A lower-case word without the marks at its edges, decoded if the channel may have changed it."""
         core = word.strip(EDGE)
-        if not core or not SUSPECT.search(core) or len(core) > 40:
+        if not core or not SUSPECT.search(core):
             return core.rstrip("!")
+        if len(core) > CACHE_CHARS:
+            return decode(core, self.model)
         if core not in self.known:
             if len(self.known) >= CACHE_WORDS:
                 self.known.clear()
@@ -143,7 +152,7 @@ class Restorer:
         """Words that are spelt letter by letter, of a lower-case text."""
         out = []
         for m in SPELT.finditer(text):
-            out += decode(m[0][:400], self.model).split() if len(m[0]) <= 400 else [w for i in range(0, len(m[0]), 200) for w in decode(m[0][i : i + 400], self.model).split()]
+            out += decode(" ".join(m[0].split()), self.model).split()
         return out
 
 
