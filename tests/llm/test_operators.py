@@ -132,11 +132,6 @@ def test_simhash(spark, tables, tile):
     want = Counter((i, f, least.get(of[f])) for i, f in held)
     got = simhash.near_duplicates(docs, tile=tile).collect()
     assert Counter((r.doc_id, r.fp % (1 << 64), r.component_id) for r in got) == want
-    kept = simhash.keep_one(docs, radius=3, shingle=3, parts=4, tile=tile)
-    ids = [r.doc_id for r in kept.collect()]
-    assert kept.columns == docs.columns
-    assert Counter(i for i in ids if i is not None) == Counter({c for _, _, c in want if c is not None})
-    assert sum(i is None for i in ids) == sum(i is None for i, _ in held)
 
 
 def test_components(spark):

@@ -6,8 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The six ASCII white space characters that end a word: \x20 and \x09-\x0D.
@@ -49,6 +50,60 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+HOT_KEYS, HOT_ROWS = 256, 1000
+
+
+def hot_join(rows: DataFrame, small: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """Inner join of rows with small, which has one row for each key and in the column weight its number of rows.
+
+    Keys that hold HOT_ROWS rows and a HOT_KEYS-th of all rows or more are at most HOT_KEYS by this rule: they are broadcast
+    and their rows stay where they are. All others are shuffled. No key, however many rows it has, meets in one task."""
+    total = small.agg(F.sum(weight)).first()[0] or 0
+    limit = max(HOT_ROWS, -(-total // HOT_KEYS))
+    hot = F.broadcast(small.where(F.col(weight) >= limit))
+    others = rows.join(hot, keys, "left_anti").join(small.where(F.col(weight) < limit), keys)
+    return rows.join(hot, keys).unionByName(others)
+
+
+def tile_pairs(items: DataFrame, steps: list[int], tile: Column) -> DataFrame:
+    """Pairs of tiles of items (key int, item struct with id): (pair, same, lefts, rights), lefts and rights arrays of items.
+
+    A key's items are dealt by hash over tiles of about tile (a column over key) items; tiles are paired where the keys
+    differ by one of steps (not negative, 0 included). Tile pairs are listed by their names first and dealt over tasks one
+    by one, so a crowded key makes many tasks, not a large one."""
+    spark = items.sparkSession
+    crowd = items.groupBy("key").agg(F.count("*").alias("__n")).withColumn("__subs", F.ceil(F.col("__n") / tile).cast("int"))
+    dealt = hot_join(items, cut(crowd), ["key"], "__n").withColumn("sub", F.pmod(F.xxhash64("item.id"), F.col("__subs")).cast("int"))
+    tiles = cut(dealt.groupBy("key", "sub").agg(F.collect_list("item").alias("items")))
+    names = tiles.select("key", "sub")
+    other = names.select(F.explode(F.array(*[F.col("key") - s for s in steps])).alias("at"), F.col("key").alias("key2"), F.col("sub").alias("sub2"))
+    pairs = names.join(other, F.col("key") == F.col("at")).where("key <> key2 or sub <= sub2").select("key", "sub", "key2", "sub2")
+    pairs = cut(pairs.withColumn("pair", F.monotonically_increasing_id()))
+    parts = max(spark.sparkContext.defaultParallelism, min(20_000, pairs.count() // 8))
+    left = pairs.join(tiles.withColumnRenamed("items", "lefts"), ["key", "sub"])
+    both = left.join(tiles.select(F.col("key").alias("key2"), F.col("sub").alias("sub2"), F.col("items").alias("rights")), ["key2", "sub2"])
+    same = (F.col("key") == F.col("key2")) & (F.col("sub") == F.col("sub2"))
+    return both.select("pair", same.alias("same"), "lefts", "rights").repartition(parts, "pair")
+
+
+def grouped(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """The rows of batches that are sorted by column, a table for each of its values."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(batch.schema.get_field_index(column)).to_numpy()
+        edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            part = batch.slice(lo, hi - lo)
+            if held and held[0].column(column)[0] != part.column(column)[0]:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(part)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -61,6 +116,6 @@ def utf8_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
             yield [*keys, [x or b"" for x in text.cast(pa.binary()).to_pylist()]]
 
 
-def words_of(text) -> "F.Column":
+def words_of(text: Column) -> Column:
     """Native column: words [^\\x20\\x09-\\x0D]+ of a text (null: none) as an array."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")

@@ -1,7 +1,7 @@
 """Connected components of an edge table, by star contraction with reliable checkpoints.
 
-Every round works on two-column rows, aggregates with min (combined before the shuffle) and joins on shuffled keys that
-Spark may split, so no vertex's neighbours are ever gathered in one place. Before the rounds each task contracts the edges
+Every round works on two-column rows, aggregates with min (combined before the shuffle) and joins with hot keys broadcast, so
+no vertex's neighbours are ever gathered in one place. Before the rounds each task contracts the edges
 it holds to a spanning forest of them, in bounded batches. The number of rounds grows with the logarithm of the longest path.
 """
 
@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import cut
+from textloom.llm.common import cut, hot_join
 
 #: Edges that a task holds at once while it contracts them.
 BATCH_EDGES = 1_000_000
@@ -66,12 +66,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             break
         # large star: each vertex's larger neighbours are tied to the smallest of its neighbourhood
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count_if(F.col("b") > F.col("a")).alias("n")))
+        large = hot_join(both.where("b > a"), least, ["a"], "n").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         # small star: a vertex and its smaller neighbours are tied to the smallest of them
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
+        down = cut(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+        low = cut(down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
+        small = hot_join(down, low, ["a"], "n").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
         edges, last = cut(small), edges
         # done once all edges are stars: no vertex has both a parent and a child, nor two parents
         roots = edges.select(F.col("b").alias("a")).distinct()

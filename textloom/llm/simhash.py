@@ -6,8 +6,9 @@ differences of these counts, so a tile pair whose sum exceeds the radius is skip
 numpy exclusive-or and bit counts. No candidate is lost and there is no cap.
 
 Scale: identical fingerprints are one row before any comparison; a tile holds about `TILE` fingerprints, crowded count
-vectors are split over several tiles by hash; each tile goes to at most 65 neighbouring count vectors, so what is
-shuffled grows in proportion to the input. A tile pair returns a spanning forest of its links, at most two tiles' rows.
+vectors are split over several tiles by hash; each tile meets at most 65 neighbouring count vectors. Tile pairs are dealt
+over the tasks one by one, so a crowded count vector makes many tasks. A tile pair returns a spanning forest of its links.
+Fingerprints that many rows share are joined back without a shuffle of those rows.
 
 Defined cases: null text is an empty one, with fingerprint zero; a null doc_id takes part but is never a component_id
 while another id is in its component (else null); repeated rows each give a row; an empty table gives no row; other
@@ -22,16 +23,15 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm.common import cut, table, utf8_lists
+from textloom.llm.common import cut, hot_join, table, tile_pairs, utf8_lists
 from textloom.llm.graph import components
 
-RADIUS, SHINGLE, SEED, TILE, PARTS = 3, 3, 42, 2048, 4
-#: For removing copies: five-word shingles and at least nine tenths of equal bits, the widest radius at which chance links
-#: between unrelated texts stay negligible (a pair's chance is 5e-12).
-STAGE_RADIUS, STAGE_SHINGLE = 6, 5
+RADIUS, SHINGLE, SEED, TILE, PARTS = 3, 3, 42, 16_384, 4
+#: Fingerprints of a tile that are compared at once.
+BLOCK_PRINTS = 2048
 #: Shingle hashes whose bits are counted at once.
 BLOCK = 1 << 15
 
@@ -99,52 +99,40 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE, parts: in
     # a base above any count and twice the radius, and a bias, keep neighbours' keys apart without carries
     base, bias = width + 3 * radius + 1, radius
     key = sum(((c + bias) * base**i for i, c in enumerate(counts)), F.lit(0)).cast("int")
-    keyed = distinct.select("fp", key.alias("key"))
-    crowd = keyed.groupBy("key").count().select("key", F.ceil(F.col("count") / tile).cast("int").alias("subs"))
-    tiles = cut(keyed.join(crowd, "key").groupBy("key", F.pmod(F.xxhash64("fp"), F.col("subs")).cast("int").alias("sub")).agg(F.collect_list("fp").alias("fps")))
     near = [d for d in product(range(-radius, radius + 1), repeat=parts) if sum(map(abs, d)) <= radius]
     steps = sorted({s for d in near if (s := sum(x * base**i for i, x in enumerate(d))) >= 0})
-    other = tiles.select(F.explode(F.array(*map(F.lit, steps))).alias("step"), "key", "sub", "fps").select((F.col("key") + F.col("step")).alias("key"), (F.col("step") == 0).alias("own"), F.col("sub").alias("sub2"), F.col("fps").alias("fps2"))
-    pairs = tiles.join(other, "key").where("not own or sub <= sub2").select("fps", "fps2")
+    items = distinct.select(key.alias("key"), F.struct(F.col("fp").alias("id")).alias("item"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[tuple[int, int]] = []
-            left, right = batch.column(0), batch.column(1)
+            left, right = batch.column(2), batch.column(3)
             for i in range(batch.num_rows):
-                a, b = left[i].values.to_numpy(), right[i].values.to_numpy()
-                linked = compare(a.view(np.uint64), b.view(np.uint64), radius)
-                if linked.any():
-                    found += link_forest(linked, a, b)
+                a, b = (x[i].values.field("id").to_numpy() for x in (left, right))
+                for lo in range(0, len(a), BLOCK_PRINTS):
+                    for at in range(0, len(b), BLOCK_PRINTS):
+                        x, y = a[lo : lo + BLOCK_PRINTS], b[at : at + BLOCK_PRINTS]
+                        linked = compare(x.view(np.uint64), y.view(np.uint64), radius)
+                        if linked.any():
+                            found += link_forest(linked, x, y)
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return tile_pairs(items, steps, F.lit(tile)).mapInArrow(run, "a long, b long")
 
 
 def classes(prints: DataFrame, radius: int = RADIUS, tile: int = TILE, parts: int = PARTS) -> DataFrame:
-    """(fp, component_id) of the distinct fingerprints of prints (doc_id, fp): the smallest doc_id reachable by links."""
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    """(fp, copies, component_id) of the distinct fingerprints of prints (doc_id, fp): the smallest doc_id reachable by links."""
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")))
     of = components(links(distinct, radius, tile, parts)).withColumnRenamed("vertex", "fp")
-    joined = cut(distinct.join(of, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component")))
-    return joined.join(joined.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("fp", "component_id")
+    joined = cut(distinct.join(of, "fp", "left").select("fp", "least", "copies", F.coalesce("component", "fp").alias("component")))
+    least = cut(joined.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("n")))
+    return cut(hot_join(joined, least, ["component"], "n").select("fp", "copies", "component_id"))
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, tile: int = TILE, parts: int = PARTS) -> DataFrame:
     """(doc_id, fp, component_id, text_hash) for each row of docs (doc_id, text)."""
     prints = cut(fingerprints(docs, shingle))
-    return prints.join(classes(prints, radius, tile, parts), "fp").select("doc_id", "fp", "component_id", "text_hash")
-
-
-def keep_one(docs: DataFrame, radius: int = STAGE_RADIUS, shingle: int = STAGE_SHINGLE, tile: int = TILE, parts: int = 2) -> DataFrame:
-    """The rows of docs without near copies: of each component the row with its smallest doc_id stays, unchanged.
-
-    Of several rows with that id the one with the smallest text hash stays; rows without a doc_id stay."""
-    found = near_duplicates(docs, radius, shingle, tile, parts)
-    keys = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.min("text_hash").alias("__hash"))
-    keyed = docs.where("doc_id is not null").withColumns({"__id": F.col("doc_id").cast("long"), "__hash": text_hash()})
-    first = Window.partitionBy("__id", "__hash").orderBy("__id")
-    kept = keyed.join(keys, ["__id", "__hash"]).withColumn("__n", F.row_number().over(first)).where("__n = 1")
-    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    return hot_join(prints, classes(prints, radius, tile, parts), ["fp"], "copies").select("doc_id", "fp", "component_id", "text_hash")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
