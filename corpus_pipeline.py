@@ -1,7 +1,8 @@
 """The corpus pipeline: five stages from raw documents to packed training sequences.
 
 1. quality_rules: documents that a rule rejects go.
-2. simhash: of each group of near copies (exact five-word Jaccard similarity of 0.8 or more) the document with the smallest id stays.
+2. simhash: of each group of near copies (SimHash candidates at an exact five-word Jaccard similarity of 0.8 or more) the document
+   with the smallest id stays.
 3. secrets: what the secret scan reports is replaced by a mark; documents stay.
 4. mixing: documents are taken by the weights of their domain, language and source; several epochs repeat a document.
 5. packing: all documents left are packed into token sequences; the result is its pieces.
@@ -16,7 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import copies, mixing, packing, quality_rules, secrets
+from textloom.llm import mixing, near_copies, packing, quality_rules, secrets
 from textloom.llm.common import staged, table
 
 
@@ -25,7 +26,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return copies.keep_one(docs)
+    return near_copies.keep_one(docs)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
