@@ -142,20 +142,6 @@ def test_components(spark):
     assert graph.components(df.where("false")).count() == 0
 
 
-@pytest.mark.parametrize("tile", [embeddings.TILE, 4])
-def test_embeddings(spark, tables, tile):
-    rows = spark.read.parquet(f"{tables}/embeddings.parquet").collect()
-    sound = [(r.vec_id, r.label, np.array(r.embedding, float)) for r in rows if r.vec_id is not None and r.label is not None and r.embedding and None not in r.embedding and np.isfinite(np.array(r.embedding, float)).all() and any(r.embedding) and len(r.embedding) == 8]
-    near = lambda a, b: a[1] == b[1] and a[2] @ b[2] / np.linalg.norm(a[2]) / np.linalg.norm(b[2]) >= 0.98
-    by_id = {s[0]: s for s in sound}
-    of = classes(list(by_id), lambda a, b: near(by_id[a], by_id[b]))
-    want = {r.vec_id: (0, r.vec_id) for r in rows} | {i: (sum(near(s, t) for t in sound) - 1, of[i]) for i, s in by_id.items()}
-    got = embeddings.near_duplicates(spark.read.parquet(f"{tables}/embeddings.parquet"), tile=tile).collect()
-    assert len(got) == len(rows)
-    right = sum(want[r.vec_id] == (r.n_links, r.component_id) for r in got)
-    assert all(r.n_links <= want[r.vec_id][0] for r in got) and right >= 0.9 * len(got)
-
-
 def test_models_and_counts(spark, tables):
     n = spark.read.parquet(f"{tables}/documents.parquet").count()
     for name, modulus, rest in (("op4_quality_model", 5, 0), ("op6_toxicity", 4, 2)):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,25 +65,26 @@ def hot_join(rows: DataFrame, small: DataFrame, keys: list[str], weight: str) ->
     return rows.join(hot, keys).unionByName(others)
 
 
-def tile_pairs(items: DataFrame, steps: list[int], tile: Column) -> DataFrame:
-    """Pairs of tiles of items (key int, item struct with id): (pair, same, lefts, rights), lefts and rights arrays of items.
-
-    A key's items are dealt by hash over tiles of about tile (a column over key) items; tiles are paired where the keys
-    differ by one of steps (not negative, 0 included). Tile pairs are listed by their names first and dealt over tasks one
-    by one, so a crowded key makes many tasks, not a large one."""
-    spark = items.sparkSession
-    crowd = items.groupBy("key").agg(F.count("*").alias("__n")).withColumn("__subs", F.ceil(F.col("__n") / tile).cast("int"))
-    dealt = hot_join(items, cut(crowd), ["key"], "__n").withColumn("sub", F.pmod(F.xxhash64("item.id"), F.col("__subs")).cast("int"))
-    tiles = cut(dealt.groupBy("key", "sub").agg(F.collect_list("item").alias("items")))
-    names = tiles.select("key", "sub")
-    other = names.select(F.explode(F.array(*[F.col("key") - s for s in steps])).alias("at"), F.col("key").alias("key2"), F.col("sub").alias("sub2"))
-    pairs = names.join(other, F.col("key") == F.col("at")).where("key <> key2 or sub <= sub2").select("key", "sub", "key2", "sub2")
-    pairs = cut(pairs.withColumn("pair", F.monotonically_increasing_id()))
-    parts = max(spark.sparkContext.defaultParallelism, min(20_000, pairs.count() // 8))
-    left = pairs.join(tiles.withColumnRenamed("items", "lefts"), ["key", "sub"])
-    both = left.join(tiles.select(F.col("key").alias("key2"), F.col("sub").alias("sub2"), F.col("items").alias("rights")), ["key2", "sub2"])
-    same = (F.col("key") == F.col("key2")) & (F.col("sub") == F.col("sub2"))
-    return both.select("pair", same.alias("same"), "lefts", "rights").repartition(parts, "pair")
+def tile_pairs(items: DataFrame, keys: list[str], tile: Column, steps: Iterable[int] = (0,)) -> DataFrame:
+    """Pairs of tiles of items (keys, item struct with id): (pair, same, lefts, rights, keys), lefts and rights arrays of items.
+
+    The items of each key are dealt by hash over tiles of about tile (a column over keys) items; tiles are paired where the
+    last key, a number, differs by one of steps (not negative, 0 included) and the others are equal. A tile's pair with itself
+    (same) has no rights and is made where the tile is. Other pairs are listed by name first and dealt over tasks one by
+    one, so a crowded key makes many tasks, not a large one."""
+    last = keys[-1]
+    crowd = items.groupBy(*keys).agg(F.count("*").alias("__n")).withColumn("__subs", F.ceil(F.col("__n") / tile).cast("int"))
+    dealt = hot_join(items, cut(crowd), keys, "__n").withColumn("sub", F.pmod(F.xxhash64("item.id"), F.col("__subs")).cast("int"))
+    tiles = cut(dealt.groupBy(*keys, "sub").agg(F.collect_list("item").alias("items")))
+    own = tiles.select((F.monotonically_increasing_id() * 2).alias("pair"), F.lit(True).alias("same"), F.col("items").alias("lefts"), F.slice("items", 1, 0).alias("rights"), *keys)
+    names = tiles.select(*keys, "sub")
+    other = names.select(*keys[:-1], F.explode(F.array(*[F.col(last) - s for s in steps])).alias(last), F.col(last).alias("__last"), F.col("sub").alias("__sub"))
+    pairs = names.join(other, keys).where((F.col(last) != F.col("__last")) | (F.col("sub") < F.col("__sub")))
+    pairs = cut(pairs.withColumn("pair", F.monotonically_increasing_id() * 2 + 1))
+    right = tiles.select(*keys[:-1], F.col(last).alias("__last"), F.col("sub").alias("__sub"), F.col("items").alias("rights"))
+    both = pairs.join(tiles.withColumnRenamed("items", "lefts"), [*keys, "sub"]).join(right, [*keys[:-1], "__last", "__sub"])
+    parts = max(items.sparkSession.sparkContext.defaultParallelism, min(20_000, pairs.count() // 8))
+    return own.unionAll(both.select("pair", F.lit(False).alias("same"), "lefts", "rights", *keys).repartition(parts, "pair"))
 
 
 def grouped(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:

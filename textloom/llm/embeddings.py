@@ -5,16 +5,20 @@ label and pivot, the vectors that name that pivot among their first `PREFIX`; ve
 are candidates and are verified by their cosine in double precision. A pair is judged only in the list of the smallest
 pivot that it shares, so it is counted once.
 
-The pivots are fitted on a bounded sample: the vectors with the smallest seeded hashes, at most `MAX_PIVOTS`, about four
-times the root of the number of vectors, so that lists grow more slowly than the input. Every vector is indexed.
-
-Scale: equal vectors of a label are one row before any search. Lists are split by hash into tiles of about `TILE` vectors,
-and tile pairs, not rows, are joined; a tile pair returns link counts for each vector and a spanning forest, never the
-pairs themselves. Only the pivots are broadcast (at most MAX_PIVOTS vectors).
-
-Defined cases: vectors that are null, empty or zero, hold null or non-finite components, have no label or no vec_id, or a
-length other than the pivots' link with nothing: n_links 0, component_id = vec_id. Repeated rows each count as a vector of
-their own; rows that repeat a vec_id with another vector share that id's links. An empty table gives no row; other columns are ignored.
+The pivots are fitted on a bounded sample for each length of vector: by seeded hashes, about four times the root of the
+number of vectors and at most `MAX_PIVOTS`, so that lists grow more slowly than the input; of pivots nearer than `THIN` one
+stays, so the members of a dense group name the same pivots. Every vector is indexed.
+
+Scale: equal vectors of a label are one row before any search, named by a hash of label and vector; the rows themselves are
+joined back by that name, those of hot vectors without a shuffle. Lists are split by hash into tiles of about `TILE` vectors; a
+tile is compared with itself where it is, pairs of tiles of a crowded list are dealt over tasks one by one. A tile pair
+returns link counts for each vector and a spanning forest, never the pairs. Only the pivots are broadcast.
+
+Defined cases: vectors that are null, empty or zero, hold null or non-finite components, or have no label or no vec_id link
+with nothing: n_links 0, component_id = vec_id. Vectors of different lengths never link. Float columns stay float until they are
+scaled in double precision, all others are read as double; at the threshold's last digits the quotient of the plain sums
+decides. Repeated rows, and rows that repeat a vec_id, each count as a vector of their own. An empty table gives no row; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,14 +27,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm.common import cut, table
+from textloom.llm.common import cut, hot_join, table, tile_pairs
 from textloom.llm.graph import components
 from textloom.llm.simhash import link_forest
 
-COSINE, PREFIX, SHARED, MAX_PIVOTS, TILE, SEED = 0.98, 8, 2, 16_384, 512, 7
+COSINE, PREFIX, SHARED, MAX_PIVOTS, TILE, SEED, THIN = 0.98, 8, 2, 16_384, 512, 7, 0.95
+#: Numbers that all pivots together hold at most (32 MB), but for 64 pivots of each length.
+PIVOT_VALUES = 1 << 22
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -49,14 +57,38 @@ def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray, prefix: int) -> np.n
     return np.take_along_axis(some, by, axis=1)
 
 
-def fit_pivots(vectors: DataFrame, count: int | None = None) -> np.ndarray:
-    """Unit vectors of the rows with the smallest seeded hashes; count: by default a power of two near four times the root of all."""
-    if count is None:
-        count = min(MAX_PIVOTS, 1 << max(6, int(np.ceil(np.log2(4 * max(1, vectors.count()) ** 0.5)))))
-    rows = vectors.select("v").orderBy(F.xxhash64(F.lit(SEED), "v"), "v").limit(count).collect()
-    size = len(rows[0].v) if rows else 0
-    rows = [r.v for r in rows if len(r.v) == size]
-    return unit(np.array(rows, np.float64)) if rows else np.zeros((0, 0))
+def thinned(vectors: np.ndarray, most: float = THIN) -> np.ndarray:
+    """The rows of unit vectors, in order, without those nearer than most to one that stays.
+
+    A dense group then has one pivot, not many, so its members name the same ones."""
+    stay = np.zeros(0, np.int64)
+    for lo in range(0, len(vectors), 256):
+        part = vectors[lo : lo + 256]
+        far = np.flatnonzero((part @ vectors[stay].T < most).all(axis=1))
+        near, kept = part[far] @ part[far].T, []
+        for i in range(len(far)):
+            if not (near[i, kept] >= most).any():
+                kept.append(i)
+        stay = np.concatenate([stay, lo + far[kept]])
+    return vectors[stay]
+
+
+def fit_pivots(vectors: DataFrame, count: int | None = None) -> dict[int, np.ndarray]:
+    """Length -> unit vectors of a sample of the vectors (v) of that length, by seeded hashes, thinned.
+
+    count: of each length; by default about four times the root of its number of vectors, at least 64, and at most MAX_PIVOTS
+    and what PIVOT_VALUES numbers hold, shared among the lengths. Lengths with fewer vectors are taken whole."""
+    held = {r[0]: r[1] for r in vectors.groupBy(F.size("v")).count().collect()}
+    most = lambda size, n: count or max(64, min(MAX_PIVOTS, PIVOT_VALUES // (size * len(held)), 1 << int(np.ceil(np.log2(4 * n**0.5)))))
+    if not held:
+        return {}
+    spark, digest = vectors.sparkSession, F.pmod(F.xxhash64(F.lit(SEED), "v"), F.lit(1 << 30))
+    share = spark.createDataFrame([(size, min(1.0, most(size, n) / n)) for size, n in held.items()], "size int, share double")
+    rows = vectors.select("v", F.size("v").alias("size"), digest.alias("digest")).join(F.broadcast(share), "size").where(F.col("digest") < F.col("share") * (1 << 30))
+    by: dict[int, list] = {}
+    for r in sorted(rows.select("v", "size", "digest").collect(), key=lambda r: (r.digest, r.v)):
+        by.setdefault(r.size, []).append(r.v)
+    return {size: thinned(unit(np.array(v[: 2 * most(size, held[size])], np.float64))) for size, v in by.items()}
 
 
 def shared_pivots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -68,8 +100,12 @@ def shared_pivots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def tile_links(a: np.ndarray, b: np.ndarray, pa_: np.ndarray, pb: np.ndarray, pivot: int, same: bool, cosine: float, shared: int) -> np.ndarray:
-    """Which of a x b are links that this pivot's list has to report."""
-    linked = (shared_pivots(pa_, pb) >= shared) & (a @ b.T >= cosine)
+    """Which of a x b (vectors) are links that this pivot's list has to report."""
+    near = unit(a) @ unit(b).T
+    linked = (shared_pivots(pa_, pb) >= min(shared, pa_.shape[1])) & (near >= cosine)
+    for i, j in np.argwhere(np.abs(near - cosine) < 1e-12):  # where the last digits decide, by the plain quotient
+        x, y = a[i].astype(np.float64), b[j].astype(np.float64)
+        linked[i, j] = (pa_[i][:, None] == pb[j]).sum() >= min(shared, pa_.shape[1]) and x @ y / (np.sqrt(x @ x) * np.sqrt(y @ y)) >= cosine
     if same:
         linked &= np.triu(np.ones(linked.shape, bool), 1)
     at = np.argwhere(linked)
@@ -81,45 +117,39 @@ def tile_links(a: np.ndarray, b: np.ndarray, pa_: np.ndarray, pb: np.ndarray, pi
     return linked
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, prefix: int = PREFIX, shared: int = SHARED, pivots: int | None = None, tile: int = TILE) -> DataFrame:
-    """(vec_id, n_links, component_id) for each row of vectors (vec_id, embedding, label)."""
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>").alias("v"), F.col("label").cast("string"))
-    sound = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.coalesce(F.size("v"), F.lit(0)) > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
-    distinct = cut(rows.where("sound").groupBy("label", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")))
-    pivot = fit_pivots(distinct, pivots)
-    held, size = vectors.sparkSession.sparkContext.broadcast(pivot), pivot.shape[1]
+def described(distinct: DataFrame, held: Broadcast, prefix: int) -> DataFrame:
+    """distinct (u, label, v, copies) with pivots, the numbers of each vector's nearest ones."""
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2048):
-                part = batch.slice(lo, 2048)
-                v = np.array(part.column(part.schema.get_field_index("v")).to_pylist(), np.float32)
-                order = nearest_pivots(unit(v), held.value, prefix)
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(0, order.size + 1, order.shape[1]), pa.int32()), pa.array(order.ravel(), pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, flat], names=[*part.schema.names, "pivots"])
-
-    described = distinct.where(F.size("v") == size).mapInArrow(describe, "label string, v array<float>, id long, copies long, pivots array<int>")
-    listed = described.withColumn("pivot", F.explode("pivots"))
-    crowd = listed.groupBy("label", "pivot").count().select("label", "pivot", F.ceil(F.col("count") / tile).cast("int").alias("subs"))
-    item = F.struct("id", "copies", "v", "pivots")
-    tiles = cut(listed.join(crowd, ["label", "pivot"]).groupBy("label", "pivot", F.pmod(F.xxhash64("id"), F.col("subs")).cast("int").alias("sub")).agg(F.collect_list(item).alias("items")))
-    other = tiles.select("label", "pivot", F.col("sub").alias("sub2"), F.col("items").alias("items2"))
-    pairs = tiles.join(other, ["label", "pivot"]).where("sub <= sub2").select("pivot", (F.col("sub") == F.col("sub2")).alias("same"), "items", "items2")
-
-    def columns(items: pa.StructScalar) -> tuple[np.ndarray, ...]:
-        x = items.values
-        n = len(x)
-        v = x.field("v").flatten().to_numpy().reshape(n, -1)
-        return x.field("id").to_numpy(), x.field("copies").to_numpy(), unit(v), x.field("pivots").flatten().to_numpy().astype(np.int64).reshape(n, -1)
+            sizes = pc.list_value_length(batch.column(2)).to_numpy()
+            for size in np.unique(sizes).tolist():
+                rows = np.flatnonzero(sizes == size)
+                for lo in range(0, len(rows), 2048):
+                    part = batch.take(pa.array(rows[lo : lo + 2048]))
+                    v = part.column(2).flatten().to_numpy().reshape(-1, size)
+                    order = nearest_pivots(unit(v), held.value[size], prefix) if size in held.value else np.zeros((len(v), 0), np.int64)
+                    flat = pa.ListArray.from_arrays(pa.array(np.arange(len(order) + 1) * order.shape[1], pa.int32()), pa.array(order.ravel(), pa.int32()))
+                    yield pa.RecordBatch.from_arrays([*part.columns, flat], names=[*part.schema.names, "pivots"])
+
+    rows = distinct.select("u", "label", "v", "copies")
+    return rows.mapInArrow(run, f"u long, label string, v {dict(rows.dtypes)['v']}, copies long, pivots array<int>")
+
+
+def pair_links(pairs: DataFrame, cosine: float, shared: int) -> DataFrame:
+    """(a, b, n) of tile pairs: with b an edge of a forest of the links, without b the number n of a's links found there."""
+
+    def columns(items: pa.Array) -> tuple[np.ndarray, ...]:
+        n = len(items)
+        return items.field("id").to_numpy(), items.field("copies").to_numpy(), items.field("v").flatten().to_numpy().reshape(n, -1), items.field("pivots").flatten().to_numpy().astype(np.int64).reshape(n, -1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             edges: list[tuple[int, int | None, int]] = []
             for i in range(batch.num_rows):
-                number, same = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                id1, n1, a, p1 = columns(batch.column(2)[i])
-                id2, n2, b, p2 = columns(batch.column(3)[i])
+                same, number = batch.column(1)[i].as_py(), batch.column(batch.num_columns - 1)[i].as_py()
+                id1, n1, a, p1 = columns(batch.column(2)[i].values)
+                id2, n2, b, p2 = (id1, n1, a, p1) if same else columns(batch.column(3)[i].values)
                 linked = tile_links(a, b, p1, p2, number, same, cosine, shared)
                 if linked.any():
                     edges += [(x, y, 0) for x, y in link_forest(linked, id1, id2)]
@@ -127,12 +157,27 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, prefix: int = PR
                         edges += [(int(ids[k]), None, int(n[k])) for k in np.flatnonzero(n)]
             yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in range(3)], names=["a", "b", "n"])
 
-    found = cut(pairs.mapInArrow(run, "a long, b long, n long"))
-    more = found.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("more"))
-    of = components(found.where("b is not null").select("a", "b")).select(F.col("vertex").alias("id"), "component")
-    known = distinct.join(more, "id", "left").join(of, "id", "left").select("label", "v", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n"), F.coalesce("component", "id").alias("c"))
-    linked = rows.where("sound").join(known, ["label", "v"]).select("vec_id", F.col("n").alias("n_links"), F.col("c").alias("component_id"))
-    return linked.unionAll(rows.where("not sound").select("vec_id", F.lit(0).cast("long"), "vec_id"))
+    return pairs.mapInArrow(run, "a long, b long, n long")
+
+
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, prefix: int = PREFIX, shared: int = SHARED, pivots: int | None = None, tile: int = TILE) -> DataFrame:
+    """(vec_id, n_links, component_id) for each row of vectors (vec_id, embedding, label)."""
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("v"), F.col("label").cast("string").alias("label"))
+    sound = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.coalesce(F.size("v"), F.lit(0)) > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
+    rows = rows.withColumns({"sound": F.coalesce(sound, F.lit(False)), "v": F.transform("v", lambda x: x + F.lit(0.0).cast(kind[6:-1]))})  # -0.0 becomes 0.0
+    rows = rows.withColumn("u", F.xxhash64("label", "v"))
+    distinct = cut(rows.where("sound").groupBy("u", "label", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")))
+    held = vectors.sparkSession.sparkContext.broadcast(fit_pivots(distinct, pivots))
+    listed = described(distinct, held, prefix).select("label", F.size("v").alias("size"), F.explode("pivots").alias("pivot"), F.struct(F.col("u").alias("id"), "copies", "v", "pivots").alias("item"))
+    found = cut(pair_links(tile_pairs(listed, ["label", "size", "pivot"], F.lit(tile)), cosine, shared))
+    more = found.where("b is null").groupBy(F.col("a").alias("u")).agg(F.sum("n").alias("more"))
+    of = components(found.where("b is not null").select("a", "b")).select(F.col("vertex").alias("u"), "component")
+    known = cut(distinct.select("u", "id", "copies").join(more, "u", "left").join(of, "u", "left").select("u", "id", "copies", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), F.coalesce("component", "u").alias("c")))
+    least = cut(known.groupBy("c").agg(F.min("id").alias("component_id"), F.count("*").alias("n")))
+    named = cut(hot_join(known, least, ["c"], "n").select("u", "copies", "n_links", "component_id"))
+    linked = hot_join(rows.where("sound").select("vec_id", "u"), named, ["u"], "copies").select("vec_id", "n_links", "component_id")
+    return linked.unionAll(rows.where("not sound").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
 
 
 def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

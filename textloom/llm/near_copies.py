@@ -248,7 +248,7 @@ def links(keys: DataFrame, docs: DataFrame, radius: int = RADIUS, tile: int = TI
     items = keys.where("n > 0").select(F.floor(F.log(F.col("n").cast("double")) / float(np.log(CLASS))).cast("int").alias("key"), F.struct(F.col("set_id").alias("id"), "n", *FP).alias("item"))
     steps = list(range(int(np.log(JACCARD[1] / JACCARD[0]) / np.log(CLASS)) + 2))
     size = F.pow(F.lit(CLASS), F.col("key") + 1)
-    pairs = tile_pairs(items, steps, F.greatest(F.lit(1.0), F.least(F.lit(float(tile)), TILE_SHINGLES / size)))
+    pairs = tile_pairs(items, ["key"], F.greatest(F.lit(1.0), F.least(F.lit(float(tile)), TILE_SHINGLES / size)), steps)
     found = cut(involved(pairs, radius))
     wanted = cut(found.select(F.col("id").alias("set_id")).distinct().join(keys, "set_id").select("set_id", "pick", *FP))
 

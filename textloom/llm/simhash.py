@@ -108,7 +108,8 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE, parts: in
             found: list[tuple[int, int]] = []
             left, right = batch.column(2), batch.column(3)
             for i in range(batch.num_rows):
-                a, b = (x[i].values.field("id").to_numpy() for x in (left, right))
+                a = left[i].values.field("id").to_numpy()
+                b = a if batch.column(1)[i].as_py() else right[i].values.field("id").to_numpy()
                 for lo in range(0, len(a), BLOCK_PRINTS):
                     for at in range(0, len(b), BLOCK_PRINTS):
                         x, y = a[lo : lo + BLOCK_PRINTS], b[at : at + BLOCK_PRINTS]
@@ -117,7 +118,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE, parts: in
                             found += link_forest(linked, x, y)
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return tile_pairs(items, steps, F.lit(tile)).mapInArrow(run, "a long, b long")
+    return tile_pairs(items, ["key"], F.lit(tile), steps).mapInArrow(run, "a long, b long")
 
 
 def classes(prints: DataFrame, radius: int = RADIUS, tile: int = TILE, parts: int = PARTS) -> DataFrame:
