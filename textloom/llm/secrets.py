@@ -1,8 +1,10 @@
 """Operator 2, secret scans by structural confirmation.
 
 Base kinds are patterns (assign, access, hex). On top of them, base64 and hex candidates are decoded and reported only if
-their structure holds: key encodings by their nested DER lengths, OpenSSH keys by their nested length prefixes, signed
-tokens by their header, and wrapped secrets by the pattern found in the decoded text.
+their structure holds: key encodings by their nested DER lengths, OpenSSH keys by their nested length prefixes, signed and
+encrypted tokens by their header, and wrapped secrets by what is found in the decoded text, up to `DEPTH` encodings deep. Line
+ends within an encoding may be real or escaped as in JSON; keys may follow a separator or be followed by other text, as each
+declares its own length. PEM blocks with encryption headers count by those headers, as their bodies have no structure.
 
 Kinds, in the order that breaks ties of start: assign, access, hex, jwt, pem, der, openssh, nested.
 
@@ -36,15 +38,27 @@ Span = tuple[int, str, int]
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f][0-9a-f]{23,}")
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([^-]+)-----END \1-----")
-BLOB = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
+#: Three parts, or five of an encrypted token, whose second may be empty.
+JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*\.[A-Za-z0-9_-]*(?:\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)?")
+ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+#: A line end, as it is or as JSON writes it (once or twice escaped), with the next line's indent.
+LINE_END = r"(?:\r?\n|(?:\\{1,2}r)?\\{1,2}n)[ \t]*"
+BLOB = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+HEX_RUN = re.compile(r"(?:[0-9a-f]{2}){16,}|(?:[0-9A-F]{2}){16,}")
+#: Lines of base64 that make one value.
+LINES = re.compile(rf"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{{40,}}+(?:{LINE_END}[A-Za-z0-9+/]+)+={{0,2}}")
+#: Where base64 of a DER sequence or of an OpenSSH key may begin (fixed values: the first bits of their first bytes).
+DER_AT, OPENSSH_AT = re.compile(r"(?<![A-Za-z0-9+])M[A-P][A-Za-z0-9+/_-]{6}"), "b3BlbnNzaC1rZXktdjEA"
+RUN_OF, PADDING = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile("={0,2}")
+BREAK = re.compile(LINE_END)
+#: How often an encoding may lie within another.
+DEPTH = 4
 #: Lower-case words of which an assignment has one.
 KEYWORDS = (b"passw", b"secret", b"token", b"api_key", b"apikey")
 #: Characters of hex, base64 and both forms of base64url: a long run of them is a candidate.
 RUN = np.zeros(256, bool)
 RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
-STEP = 24
+STEP = 16
 
 
 def base_spans(text: str) -> list[Span]:
@@ -104,76 +118,200 @@ def is_key_der(data: bytes) -> bool:
     return False
 
 
-def is_openssh(data: bytes) -> bool:
-    """openssh-key-v1: cipher, kdf, kdf options, count, then that many public blobs and one private one, all length-prefixed."""
+def openssh_end(data: bytes) -> int | None:
+    """Length of the openssh-key-v1 value that begins data: cipher, kdf, kdf options, count, then that many public blobs and one
+    private one, all length-prefixed; None if there is none."""
     magic = b"openssh-key-v1\0"
     if not data.startswith(magic):
-        return False
+        return None
     at = len(magic)
 
-    def string() -> bytes | None:
+    def string() -> bool:
         nonlocal at
         if at + 4 > len(data) or at + 4 + (n := int.from_bytes(data[at : at + 4], "big")) > len(data):
-            return None
+            return False
         at += 4 + n
-        return data[at - n : at]
+        return True
 
-    if None in (string(), string(), string()) or at + 4 > len(data):
-        return False
+    if not (string() and string() and string()) or at + 4 > len(data):
+        return None
     count, at = int.from_bytes(data[at : at + 4], "big"), at + 4
-    return 1 <= count <= 16 and all(string() is not None for _ in range(count + 1)) and at == len(data)
+    return at if 1 <= count <= 16 and all(string() for _ in range(count + 1)) else None
+
+
+def is_openssh(data: bytes) -> bool:
+    return openssh_end(data) == len(data)
+
 
+def token_end(token: str) -> int | None:
+    """Length of the signed or encrypted token that begins token, of three or five base64url parts; None if its header is none.
 
-def is_signed_token(token: str) -> bool:
-    """Three base64url parts; the header is a JSON object that names an algorithm, the payload a JSON object unless it is encrypted."""
-    head, body, _ = token.split(".")
+    The header is a JSON object that names an algorithm; the payload is a JSON object, or it is encrypted and has five parts."""
+    parts = token.split(".")
     try:
-        header = json.loads(decode_base64(head) or b"")
+        header = json.loads(decode_base64(parts[0]) or b"")
         if not isinstance(header, dict) or not isinstance(header.get("alg"), str):
-            return False
-        return "enc" in header or isinstance(json.loads(decode_base64(body) or b""), dict)
+            return None
+        if "enc" in header:
+            return len(token) if len(parts) == 5 else None
+        return len(".".join(parts[:3])) if isinstance(json.loads(decode_base64(parts[1]) or b""), dict) else None
     except (ValueError, RecursionError):
-        return False
+        return None
+
+
+def printable(data: bytes) -> int:
+    """How many bytes data begins with that are plain ASCII text."""
+    m = re.match(rb"[\x20-\x7e\t\n\r]*", data)
+    return m.end()
+
 
+def holds_secret(text: str, depth: int) -> bool:
+    """Whether decoded text has a secret of any kind but hex."""
+    return any(k != "hex" for _, k, _ in base_spans(text)) or bool(depth < DEPTH and method_spans(text, depth + 1))
 
-def confirmed(data: bytes) -> str | None:
-    """The kind that decoded bytes prove to be."""
-    if is_key_der(data):
-        return "der"
-    if is_openssh(data):
-        return "openssh"
-    if len(data) >= 12 and all(32 <= x < 127 or x in (9, 10, 13) for x in data) and any(k != "hex" for _, k, _ in base_spans(data.decode("ascii"))):
-        return "nested"
+
+def confirmed(data: bytes, depth: int = 0) -> tuple[str, int] | None:
+    """(kind, length) of what decoded bytes begin with, where that proves to be a secret."""
+    if data[:1] == b"\x30" and (n := der_length(data)) and n <= len(data) and is_key_der(data[:n]):
+        return "der", n
+    if n := openssh_end(data):
+        return "openssh", n
+    n = printable(data)
+    return ("nested", n) if n >= 12 and holds_secret(data[:n].decode(), depth) else None
+
+
+def der_length(data: bytes) -> int | None:
+    """Declared length of the DER value that begins data, header included; None if the header is none."""
+    if len(data) < 6:
+        return None
+    if data[1] < 0x80:
+        return 2 + data[1]
+    size = data[1] & 0x7F
+    return 2 + size + int.from_bytes(data[2 : 2 + size], "big") if 1 <= size <= 4 else None
+
+
+def joined_body(text: str, start: int, chars: int) -> tuple[str, list[int]]:
+    """Up to chars base64 characters from start, over line ends, and where each run of them ends: (characters so far, place)."""
+    out, have, ends, at = [], 0, [], start
+    while have < chars:
+        m = RUN_OF.match(text, at, at + chars - have)
+        if not m:
+            break
+        out.append(m[0])
+        have += len(m[0])
+        ends.append((have, m.end()))
+        gap = BREAK.match(text, m.end())
+        if not gap:
+            break
+        at = gap.end()
+    return "".join(out), ends
+
+
+def place_of(chars: int, ends: list[tuple[int, int]]) -> int:
+    """Where the first chars characters of a joined body end in the text."""
+    return next(place - (have - chars) for have, place in ends if have >= chars)
+
+
+def unarmoured(text: str) -> list[Span]:
+    """Key encodings in base64 without armour: each declares its own length, so what follows it does not matter."""
+    out, done = [], 0
+    starts = [(m.start(), None) for m in DER_AT.finditer(text)]
+    at = text.find(OPENSSH_AT)
+    while at >= 0:
+        starts.append((at, "openssh"))
+        at = text.find(OPENSSH_AT, at + 1)
+    for start, kind in sorted(starts):
+        if start < done:
+            continue
+        if kind is None:
+            n = der_length(decode_base64(text[start : start + 8]) or b"")
+            if n is None or n < 32:
+                continue
+            chars = -(-n * 4 // 3)
+        else:
+            chars = 1 << 20
+        body, ends = joined_body(text, start, chars)
+        if kind is None and len(body) < chars:
+            continue
+        data = decode_base64(body if len(body) % 4 != 1 else body[:-1]) or b""
+        found = confirmed(data) if kind or data[:1] == b"\x30" else None
+        if found and found[0] in ("der", "openssh"):
+            done = place_of(-(-found[1] * 4 // 3), ends)
+            done += len(PADDING.match(text, done)[0])
+            out.append((start, found[0], done))
+    return out
+
+
+def armoured(text: str) -> list[Span]:
+    """PEM blocks: the nearest pair of a begin and an end of one label, whose body proves to be a key."""
+    out, begin = [], None
+    for m in ARMOUR.finditer(text):
+        if m[1] == "BEGIN":
+            begin = m
+        elif begin is not None and begin[2] == m[2]:
+            if is_pem_body(BREAK.sub("\n", text[begin.end() : m.start()])):
+                out.append((begin.start(), "pem", m.end()))
+            begin = None
+    return out
+
+
+def is_pem_body(body: str) -> bool:
+    """A body with its line ends restored: base64 of a key, or headers that say how it is encrypted, a blank line and base64."""
+    head, blank, rest = body.lstrip().partition("\n\n")
+    if blank and ":" in head:  # an encrypted body has no structure before decryption
+        data = decode_base64("".join(rest.split()))
+        return data is not None and len(data) >= 32 and "ENCRYPTED" in head and re.search(r"DEK-Info: *[A-Z0-9-]+,[0-9A-Fa-f]+", head) is not None
+    data = decode_base64("".join(body.split()))
+    return data is not None and (is_key_der(data) or is_openssh(data))
+
+
+def nested_in(blob: str, depth: int) -> tuple[int, int] | None:
+    """(start, end) of base64 within a run of its characters whose plain text holds a secret: the run, or what follows a separator."""
+    for m in re.finditer(r"(?:^|[/_+=-])(?=[A-Za-z0-9+/_-]{16})", blob):
+        start = m.end()
+        head = decode_base64(blob[start : start + 16])
+        if head is None or printable(head) < 12:
+            continue
+        body = blob[start:].rstrip("=")
+        data = decode_base64(body if len(body) % 4 != 1 else body[:-1])
+        if data and (found := confirmed(data, depth)) and found[0] == "nested":
+            return start, min(len(blob), start + -(-found[1] * 4 // 3) + len(blob) - len(blob.rstrip("=")))
     return None
 
 
-def method_spans(text: str) -> list[Span]:
+def method_spans(text: str, depth: int = 0) -> list[Span]:
     """Spans that structural confirmation adds."""
-    out: list[Span] = []
-    if "-----BEGIN" in text:
-        for m in PEM.finditer(text):
-            body = m[2]
-            if "\n\n" in body and ":" in body:  # headers of an encrypted key: the body has no structure before decryption
-                data = decode_base64("".join(body.split("\n\n", 1)[1].split()))
-                sound = data is not None and len(data) >= 32 and "ENCRYPTED" in body
-            else:
-                data = decode_base64("".join(body.split()))
-                sound = data is not None and (is_key_der(data) or is_openssh(data))
-            if sound:
-                out.append((m.start(), "pem", m.end()))
+    out: list[Span] = armoured(text) if "-----BEGIN" in text else []
     if "eyJ" in text:
-        out += [(m.start(), "jwt", m.end()) for m in JWT.finditer(text) if is_signed_token(m[0])]
-    inside = [(a, b) for a, _, b in out]
-    for m in BLOB.finditer(text):
-        if any(a <= m.start() < b for a, b in inside):
+        out += [(m.start(), "jwt", m.start() + n) for m in JWT.finditer(text) if (n := token_end(m[0]))]
+    within = bytearray(len(text) + 1)
+
+    def cover(spans: list[Span]) -> None:
+        for a, _, b in spans:
+            within[a:b] = b"\1" * (b - a)
+
+    cover(out)
+    cover(more := [x for x in unarmoured(text) if not within[x[0]]])
+    out += more
+    for m in LINES.finditer(text):
+        lines = BREAK.split(m[0])
+        width = len(lines[1]) if len(lines) > 2 else len(lines[0])
+        if within[m.start()] or len(lines[1]) > width or len(lines[0]) < width:
             continue
-        blob, kind = m[0], None
-        if len(blob) % 2 == 0 and re.fullmatch("[0-9a-f]+|[0-9A-F]+", blob):
-            kind = confirmed(bytes.fromhex(blob))
-        if not kind and (data := decode_base64(blob)) is not None:
-            kind = confirmed(data)
-        if kind:
-            out.append((m.start(), kind, m.end()))
+        same = next((k for k in range(1, len(lines)) if len(lines[k]) != width), len(lines))
+        whole = lines[: same + 1] if same < len(lines) and len(lines[same].rstrip("=")) < width else lines[:same]
+        if found := nested_in("".join(whole), depth):
+            _, ends = joined_body(text, m.start(), found[1])
+            start, stop = place_of(found[0], [(0, m.start()), *ends]), place_of(min(found[1], ends[-1][0]), ends)
+            out.append((start, "nested", stop + len(PADDING.match(text, stop)[0])))
+            cover(out[-1:])
+    for m in HEX_RUN.finditer(text):
+        if not within[m.start()] and (found := confirmed(bytes.fromhex(m[0]), depth)):
+            out.append((m.start(), found[0], m.start() + 2 * found[1]))
+            cover(out[-1:])
+    for m in BLOB.finditer(text):
+        if not within[m.start()] and (found := nested_in(m[0], depth)) and not within[m.start() + found[0]]:
+            out.append((m.start() + found[0], "nested", m.start() + found[1]))
     return out
 
 
@@ -197,13 +335,14 @@ def suspects(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
             while p >= 0:
                 at.append(p)
                 p = held.find(w, p + 1)
-    # a run of 24 characters covers a position in every 24, and at least 12 of it lie on one side of that
+    # a run of 16 characters covers a position in every 16, and at least 8 of it lie on one side of that
     is_run, n = RUN[data], len(data)
     pos = np.arange(STEP - 1, n, STEP)
     pos = pos[is_run[pos]]
+    reach = STEP // 2 - 1
     for sign in (-1, 1):
-        p = pos[(pos >= 11) if sign < 0 else (pos + 11 < n)]
-        for k in (6, 3, 9, 1, 2, 4, 5, 7, 8, 10, 11):
+        p = pos[(pos >= reach) if sign < 0 else (pos + reach < n)]
+        for k in (reach, *range(1, reach)):
             p = p[is_run[p + sign * k]]
         at += p.tolist()
     return np.unique(np.searchsorted(starts, np.asarray(at, np.int64), side="right") - 1) if at else np.zeros(0, np.int64)
