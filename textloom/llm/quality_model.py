@@ -9,7 +9,7 @@ takes at most about `FIT_ROWS` labelled rows of each class, chosen by a seeded h
 weighted by the inverse of their class's share, so scores mean the same at every size; everything else covers all rows.
 
 Defined cases: null text is an empty one and is scored as such; without labelled rows of both classes the score is the
-share of the one class there is, or 0.5; null ids are never labelled and are not held out; an empty table gives no row;
+share of the one class there is, or 0.5; an id with several label rows is good if one says so; null ids are never labelled and are not held out; an empty table gives no row;
 repeated rows each give a row; other columns are ignored.
 """
 
@@ -34,6 +34,12 @@ def remainder(key: Column, modulus: int) -> Column:
     return F.crc32(key.cast("long").cast("string")) % modulus
 
 
+def one_label(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, __y): one row for each id; of several labels the largest counts."""
+    rows = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("__y")).where("doc_id is not null and __y in (0, 1)")
+    return rows.groupBy("doc_id").agg(F.max("__y").alias("__y"))
+
+
 def shares(labelled: DataFrame, label: str, rows: int = FIT_ROWS) -> tuple[float, float]:
     """The sampling share of each class (label 0, 1) of labelled that leaves about rows rows of it at most."""
     counts = {r[0]: r[1] for r in labelled.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
@@ -155,7 +161,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out:
     """(doc_id, held_out, score) of each row of docs; labels (doc_id, label) are learnt where held_out, a column over doc_id, is false."""
     held_out = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     stats = statistics(docs)
-    known = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("__y")).where("doc_id is not null").where(~held_out)
+    known = one_label(labels, label).where(~held_out)
     learnt = sampled(known, "__y", share := shares(known, "__y", fit_rows))
     rows = stats.join(learnt, "doc_id").select("__y", *FEATURES).orderBy("__y", *FEATURES).collect()
     data = np.array([list(r) for r in rows], np.float64).reshape(-1, 1 + len(FEATURES))

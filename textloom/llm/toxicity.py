@@ -6,12 +6,13 @@ restored words are scored with log-odds of words and word beginnings that toxic
 logistic regression on a document's evidence gives the score. Words that the channel cannot change are their own decoding.
 
 Scale: the character counts are one bounded table (28**3 numbers) summed by Spark over all documents; texts are never
-shuffled, sampled label rows (at most about `FIT_ROWS` of each class,
-weighted by the inverse of its share) are broadcast, and the fitted tables are bounded by
-`KEPT`. Decodings and word scores are cached in each worker in bounded dictionaries.
+shuffled. A label counts once for each id; sampled labels (at most about `FIT_ROWS` of each class, weighted by the inverse of
+its share) are broadcast, and their texts are staged once. The fitted table holds at most `KEPT` features. All documents are
+read three times: for the characters, for the labelled texts, for the scores. Decodings and word scores are cached in each
+worker in bounded dictionaries; words and spelt runs of any length are decoded whole, in time linear in their length.
 
 Defined cases: null text is an empty one; texts without evidence get the score of no evidence; without labelled rows of
-both classes the score is the share of the one there is, or 0.5; null ids are not held out; an empty table gives no row;
+both classes the score is the share of the one there is, or 0.5; an id with several label rows is toxic if one says so; null ids are not held out; an empty table gives no row;
 repeated rows each give a row; other columns are ignored.
 """
 
@@ -25,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm.common import table, utf8_lists
-from textloom.llm.quality_model import lasso, remainder, sampled, shares
+from textloom.llm.common import cut, table, utf8_lists
+from textloom.llm.quality_model import lasso, one_label, remainder, sampled, shares
 from textloom.llm.secrets import text_bytes
 
 FIT_ROWS, KEPT, LEAST_GAIN, CUTOFF, CACHE_WORDS = 4_000, 4_000, 8.0, 0.3, 500_000
@@ -47,7 +48,10 @@ CODES[97:123], CODES[65:91], CODES[128:] = np.arange(1, 27), np.arange(1, 27), 2
 _DISGUISE = "0-9@$!|+(€£" + re.escape(SEPARATORS)
 #: A letter, or a sign that can stand for one, on both sides of a sign; a sign that begins a word; a letter three times.
 SUSPECT = re.compile(rf"[a-z][{_DISGUISE}]+[a-z]|^[0-9@$!|+(€£][a-z0-9@$!|+(€£]*[a-z]|[a-z][0-9@$!|+(€£]+$|([a-z])\1\1")
-SPELT = re.compile(r"(?<!\S)[a-z0-9@$!|](?:[ \t\n\x0b\x0c\r]+[a-z0-9@$!|]){2,}(?!\S)")
+#: Single letters, or signs for letters, with white space between them; marks may stand around the word.
+SPELT = re.compile(r"(?<!\w)(?<!\w['’])[a-z0-9@$!|](?:[ \t\n\x0b\x0c\r]+[a-z0-9@$!|]){2,}(?!\w)(?!['’]\w)")
+#: A necessary condition of SPELT on the bytes of a text of any case.
+MAY_SPELL = re.compile(rb"(?<![A-Za-z0-9])[A-Za-z0-9@$!|][ \t\n\x0b\x0c\r]+[A-Za-z0-9@$!|][ \t\n\x0b\x0c\r]")
 EDGE = ".,;:?\"')]}%&#*-_~^`<>/\\=[{"
 
 
@@ -161,8 +165,8 @@ def features(word: str) -> list[str]:
     return [f for w in word.split() for f in (w, *(w[:k] + "*" for k in BEGINNINGS if len(w) >= k))]
 
 
-def log_odds(docs: DataFrame, learnt: DataFrame, model: np.ndarray, clean_weight: float = 1.0) -> dict[str, float]:
-    """Feature -> log-odds of the KEPT strongest features of labelled rows (doc_id, __y), each with a log-likelihood gain of LEAST_GAIN or more over chance.
+def log_odds(seen: DataFrame, model: np.ndarray, clean_weight: float = 1.0) -> dict[str, float]:
+    """Feature -> log-odds of the KEPT strongest features of labelled texts (y, text), each with a log-likelihood gain of LEAST_GAIN or more over chance.
 
     clean_weight: rows that a clean row stands for, for each that a toxic one does."""
 
@@ -174,12 +178,11 @@ def log_odds(docs: DataFrame, learnt: DataFrame, model: np.ndarray, clean_weight
                 found = {f for w in set(low.split()) for f in features(restore.word(w))} | {f for w in restore.spelt(low) for f in features(w)}
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([label] * len(found), pa.int64())], names=["f", "y"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(learnt), "doc_id").select(F.col("__y").cast("long"), "text")
-    n = {r[0]: r[1] for r in learnt.groupBy("__y").count().collect()}
+    n = {r[0]: r[1] for r in seen.groupBy("y").count().collect()}
     share = n.get(1, 0) / max(1, n.get(1, 0) + clean_weight * n.get(0, 0))
     if not 0 < share < 1:
         return {}
-    counts = rows.mapInArrow(run, "f string, y long").groupBy("f").agg(F.sum("y").cast("double").alias("t"), F.count("*").cast("double").alias("n"))
+    counts = seen.select("y", "text").mapInArrow(run, "f string, y long").groupBy("f").agg(F.sum("y").cast("double").alias("t"), F.count("*").cast("double").alias("n"))
     odds = F.log((F.col("t") + 0.5) / (n.get(1, 0) + 1)) - F.log((F.col("n") - F.col("t") + 0.5) / (n.get(0, 0) + 1))
     clean = clean_weight * (F.col("n") - F.col("t"))
     both = F.col("t") + clean
@@ -207,7 +210,8 @@ def evidence(docs: DataFrame, odds: dict[str, float], model: np.ndarray, keep: t
                         known[w] = v
                     if v:
                         hits.append(v)
-                hits += [v for w in restore.spelt(text.decode().lower()) if (v := max((odds.get(f, 0.0) for f in features(w)), default=0.0))]
+                spelt = restore.spelt(text.decode().lower()) if MAY_SPELL.search(text) else ()
+                hits += [v for w in spelt if (v := max((odds.get(f, 0.0) for f in features(w)), default=0.0))]
                 if hits:
                     most[i], total[i] = max(hits), sum(hits)
             yield pa.RecordBatch.from_arrays([*keys, pa.array(most), pa.array(total)], names=[*keep, "most", "total"])
@@ -219,10 +223,10 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: Co
     """(doc_id, held_out, score) of each row of docs; labels (doc_id, label) are learnt where held_out, a column over doc_id, is false."""
     held_out = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     model = char_model(count_trigrams(docs))
-    labelled = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("__y")).where("doc_id is not null").where(~held_out)
+    labelled = one_label(labels, label).where(~held_out)
     learnt = sampled(labelled, "__y", share := shares(labelled, "__y", fit_rows))
-    odds = log_odds(docs, learnt, model, share[1] / share[0])
-    seen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(learnt), "doc_id").withColumn("y", F.col("__y"))
+    seen = cut(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(learnt), "doc_id").select(F.col("__y").cast("long").alias("y"), "text"))
+    odds = log_odds(seen, model, share[1] / share[0])
     rows = np.array([list(r) for r in evidence(seen, odds, model, ("y",)).orderBy("y", "most", "total").collect()], np.float64).reshape(-1, 3)
     y, most, total = rows.T
     if not len(y) or y.min() == y.max():
