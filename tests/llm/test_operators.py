@@ -181,6 +181,35 @@ def test_mixing_redistributes_to_siblings_first(spark):
     assert got == {"a": 10, "b": 190, "c": 200, "d": 400}
 
 
+@pytest.mark.parametrize("edge_rows", [0, mixing.EDGE_ROWS])
+def test_mixing_takes_the_prefix_of_each_leaf(spark, monkeypatch, edge_rows):
+    """Every leaf's prefix against a sort of the whole leaf, also where prefixes are narrowed down digit by digit."""
+    monkeypatch.setattr(mixing, "EDGE_ROWS", edge_rows)
+    rows = [(rng.randrange(400), " ".join(["w"] * rng.randrange(0, 9)), "en", f"src{rng.choice([0, 0, 0, 1, 2])}") for _ in range(600)] + [(7, "a b", "en", "src0")] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    total, tree = 900, mixing.Tree({"web": 3, "books": 1, "news": 1}, {"en": 1}, {})
+    leaves = {}
+    for i, t, _, s in rows:
+        leaves.setdefault(s, []).append((i, len(t.split())))
+    plan = {r.source: r.budget for r in mixing.budgets(spark.createDataFrame([({"src0": "web", "src1": "books", "src2": "news"}[s], "en", s, sum(n for _, n in v)) for s, v in leaves.items()], "domain string, lang string, source string, tokens long"), total, tree, 2).collect()}
+    want = Counter()
+    for s, held in leaves.items():
+        full, rest = divmod(plan[s], sum(n for _, n in held))
+        want.update({(s, i, n, e): c for e in range(full) for (i, n), c in Counter(held).items()})
+        for i, n in sorted(held, key=lambda r: (hashlib.md5(f"mix-1|{full}|{r[0]}".encode()).hexdigest(), r[1])):
+            rest -= n
+            if rest < 0:
+                break
+            want[s, i, n, full] += 1
+    got = Counter((r["__source"], r["__id"], r["__tokens"], r["__epoch"]) for r in mixing.select(df, total, tree).collect())
+    assert got == want
+    texts = Counter((r.source, r.doc_id, len(r.text.split())) for r in mixing.mix_docs(df, total, tree).collect())
+    again = Counter()
+    for (s, i, n, _), c in want.items():
+        again[s, i, n] += c
+    assert texts == again
+
+
 def test_pipeline(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     names, last = docs.columns, docs

@@ -6,9 +6,13 @@ whole family cannot hold returns to its parent's siblings. For one family this i
 min(capacity, level * weight), and the level follows from running sums in order of capacity / weight. Each leaf's budget
 is taken as whole epochs and a token prefix of one more epoch in that epoch's own seeded order.
 
-Scale: leaves are sums combined before the shuffle. The prefix is found in two steps: token sums by the first 12 bits of
-the seeded hash give the bucket where the budget ends; documents in earlier buckets are taken as they stand, and only the
-documents of that one bucket of each leaf are ordered. So a leaf with a third of all rows is never sorted, nor moved.
+Tokens are the words of a text: a tokenizer's count needs Python, which the native path has none of.
+
+Scale: texts are split once, into narrow rows; leaves are sums combined before the shuffle. Where a leaf's prefix ends is
+found by token sums over hash prefixes, three digits at a time, until a prefix holds few rows of each leaf; only those are
+ordered, without their texts. Documents are then taken by comparing their own hash with their leaf's cut. Hot leaves' plans
+are broadcast (at most HOT_KEYS of them), so a leaf with a third of all rows is never sorted, nor moved. The nodes of one
+family are ordered in one task: a narrow row for each source of a language.
 
 Defined cases: null text is empty, with no token; null language or source is a leaf of its own ("" in the tree); unknown
 nodes weigh `OTHER`; repeated rows each count; an empty table gives no row; fractions of a token are dropped, so a family
@@ -22,15 +26,15 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import cut, table, words_of
+from textloom.llm.common import cut, hot_join, table, words_of
 
 DOMAINS = ("web", "books", "news", "reference")
 #: Integer weights of the tree's nodes; sources of a language weigh the same.
 DOMAIN_WEIGHTS = {"web": 45, "books": 25, "news": 20, "reference": 10}
 LANG_WEIGHTS = {"en": 55, "de": 15, "fr": 15, "es": 15}
-OTHER, EPOCHS, SEED, BUCKET_DIGITS = 1, 2, "mix-1", 3
-#: Leaves up to which budgets are broadcast to the documents; beyond it they are joined by shuffle.
-BROADCAST_LEAVES = 50_000
+OTHER, EPOCHS, SEED = 1, 2, "mix-1"
+#: Hex digits of the seeded hash by which a leaf's prefix is narrowed down at a time, and rows of a leaf that are then ordered.
+PREFIX_DIGITS, EDGE_ROWS = 3, 10_000
 LEVELS = ("domain", "lang", "source")
 
 
@@ -85,41 +89,79 @@ def _seeded(epoch: Column, seed: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(seed), epoch.cast("string"), F.coalesce(F.col("__id").cast("string"), F.lit(""))))
 
 
-def select(docs: DataFrame, total: int | None = None, tree: Tree = Tree(), epochs: int = EPOCHS, seed: str = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rows taken from docs (doc_id, text, lang, source): the columns keep, then __id, __domain, __lang, __source, __tokens, __epoch."""
-    base = docs.select(*keep, docs["doc_id"].alias("__id"), F.coalesce(docs["lang"].cast("string"), F.lit("")).alias("__lang"), F.coalesce(docs["source"].cast("string"), F.lit("")).alias("__source"), F.size(words_of(docs["text"].cast("string"))).cast("long").alias("__tokens"))
-    base = base.withColumn("__domain", domain_of(F.col("__source")))
-    own = [f"__{x}" for x in LEVELS]
-    narrow = cut(base.select("__id", *own, "__tokens"))
-    leaves = narrow.groupBy(*own).agg(F.sum("__tokens").alias("tokens")).select(*[F.col(o).alias(x) for o, x in zip(own, LEVELS, strict=True)], "tokens")
-    plan = budgets(leaves, total, tree, epochs).select(*[F.col(x).alias(o) for o, x in zip(own, LEVELS, strict=True)], F.coalesce(F.expr("budget div nullif(tokens, 0)"), F.lit(epochs)).alias("__full"), F.coalesce(F.expr("budget % nullif(tokens, 0)"), F.lit(0)).alias("__rest"))
-    plan = cut(plan)
-    small = plan.count() <= BROADCAST_LEAVES
-    by = lambda df, more: df.join(F.broadcast(more) if small else more, own)
-
-    def bucketed(df: DataFrame) -> DataFrame:
-        return df.withColumn("__hash", _seeded(F.col("__full"), seed)).withColumn("__bucket", F.substring("__hash", 1, BUCKET_DIGITS))
-
-    sums = bucketed(by(narrow, plan).where("__rest > 0")).groupBy(*own, "__rest", "__bucket").agg(F.sum("__tokens").alias("n"))
-    upto = Window.partitionBy(*own).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # the last bucket that does not fit whole, and what is left for it
-    ends = sums.withColumn("upto", F.sum("n").over(upto)).where(F.col("upto") > F.col("__rest")).groupBy(*own).agg(F.min("__bucket").alias("__end"), F.min_by(F.col("__rest") - F.col("upto") + F.col("n"), "__bucket").alias("__left"))
-    cuts = cut(plan.join(ends, own, "left").select(*own, "__full", "__end", "__left", (F.col("__rest") > 0).alias("__part")))
-    seen = bucketed(by(base, cuts))
-    inside = F.col("__part") & F.coalesce(F.col("__bucket") < F.col("__end"), F.lit(True))
-    # the epochs that hold a row whole: all full ones, and the partial one for rows in buckets before its end
+def _leaf(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text, lang, source and more) with __id and the leaf's __domain, __lang and __source."""
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return docs.withColumns({"__id": F.col("doc_id"), "__lang": name("lang"), "__source": name("source"), "__domain": domain_of(name("source"))})
+
+
+def _tokens(text: Column) -> Column:
+    return F.size(words_of(text.cast("string"))).cast("long")
+
+
+OWN = [f"__{x}" for x in LEVELS]
+
+
+def _cut_points(rows: DataFrame) -> DataFrame:
+    """(leaf, __cut, __left) of rows (leaf, __hash, __tokens, __rest): the hash at which the tokens in the order of hashes exceed __rest, and what is left before it.
+
+    Token sums by hash prefixes find the prefix in which the rest ends, three digits at a time, until it holds few rows of
+    each leaf; only those are ordered."""
+    upto = Window.partitionBy(*OWN).orderBy("__at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def ending(sums: DataFrame) -> DataFrame:
+        """Of sums (leaf, __at, __rest, n, rows) the first of each leaf that does not fit whole."""
+        over = sums.withColumn("__upto", F.sum("n").over(upto)).where(F.col("__upto") > F.col("__rest"))
+        return over.groupBy(*OWN).agg(F.min_by(F.struct(F.col("__at").alias("__prefix"), (F.col("__rest") - F.col("__upto") + F.col("n")).alias("__rest"), "rows"), "__at").alias("e")).select(*OWN, "e.*")
+
+    sums = lambda df, at: df.withColumn("__at", at).groupBy(*OWN, "__rest", "__at").agg(F.sum("__tokens").alias("n"), F.count("*").alias("rows"))
+    digits, state = PREFIX_DIGITS, cut(ending(sums(rows, F.substring("__hash", 1, PREFIX_DIGITS))))
+    inside = lambda: rows.drop("__rest").withColumn("__prefix", F.substring("__hash", 1, digits)).join(state.drop("rows"), [*OWN, "__prefix"])
+    while digits < 30 and (state.agg(F.max("rows")).first()[0] or 0) > EDGE_ROWS:
+        held = inside()
+        digits += PREFIX_DIGITS
+        state = cut(ending(sums(held, F.substring("__hash", 1, digits))))
+    return ending(sums(inside(), F.col("__hash"))).select(*OWN, F.col("__prefix").alias("__cut"), F.col("__rest").alias("__left"))
+
+
+def plan_cuts(docs: DataFrame, total: int | None = None, tree: Tree = Tree(), epochs: int = EPOCHS, seed: str = SEED) -> tuple[DataFrame, DataFrame]:
+    """(narrow, cuts): narrow (__id, leaf, __tokens) has a row for each of docs; cuts has a row for each leaf with tokens to take:
+    __full whole epochs, and of one more epoch the documents before the hash __cut (all, where it is null and __part is true)
+    and, of those with that hash, what fits into __left. __rows: the leaf's rows."""
+    narrow = cut(_leaf(docs).select("__id", *OWN, _tokens(F.col("text")).alias("__tokens")))
+    leaves = narrow.groupBy(*OWN).agg(F.sum("__tokens").alias("tokens"), F.count("*").alias("__rows"))
+    named = cut(leaves.select(*[F.col(o).alias(x) for o, x in zip(OWN, LEVELS, strict=True)], "tokens", "__rows"))
+    plan = budgets(named.drop("__rows"), total, tree, epochs).join(named.drop("tokens"), list(LEVELS))
+    plan = cut(plan.select(*[F.col(x).alias(o) for o, x in zip(OWN, LEVELS, strict=True)], "__rows", F.coalesce(F.expr("budget div nullif(tokens, 0)"), F.lit(epochs)).alias("__full"), F.coalesce(F.expr("budget % nullif(tokens, 0)"), F.lit(0)).alias("__rest")))
+    part = plan.where("__rest > 0")
+    hashed = cut(hot_join(narrow, part, OWN, "__rows").select(*OWN, "__rest", "__tokens", _seeded(F.col("__full"), seed).alias("__hash")))
+    return narrow, cut(plan.join(_cut_points(hashed), OWN, "left").select(*OWN, "__rows", "__full", "__cut", "__left", (F.col("__rest") > 0).alias("__part")))
+
+
+def taken(rows: DataFrame, cuts: DataFrame, seed: str, tokens: Column) -> DataFrame:
+    """rows (leaf, __id and more) as often as the cuts take them, with __epoch. tokens is computed for rows at a cut only."""
+    seen = hot_join(rows, cuts, OWN, "__rows").withColumn("__hash", _seeded(F.col("__full"), seed))
+    inside = F.col("__part") & F.coalesce(F.col("__hash") < F.col("__cut"), F.lit(True))
     count = (F.col("__full") + F.when(inside, 1).otherwise(0)).cast("int")
     whole = seen.where(count > 0).withColumn("__epoch", F.explode(F.sequence(F.lit(0), count - 1)))
-    order = Window.partitionBy(*own).orderBy("__hash", "__id", "__tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = seen.where(F.col("__part") & (F.col("__bucket") == F.col("__end"))).withColumn("__sum", F.sum("__tokens").over(order)).where("__sum <= __left").withColumn("__epoch", F.col("__full").cast("int"))
-    names = [*keep, "__id", *own, "__tokens", "__epoch"]
-    return whole.select(names).unionAll(edge.select(names))
+    # at most the rows of one id of each leaf
+    order = Window.partitionBy(*OWN).orderBy("__n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edge = seen.where(F.col("__part") & (F.col("__hash") == F.col("__cut"))).withColumn("__n", tokens).withColumn("__sum", F.sum("__n").over(order))
+    names = [*rows.columns, "__epoch"]
+    return whole.select(names).unionAll(edge.where("__sum <= __left").withColumn("__epoch", F.col("__full").cast("int")).select(names))
+
+
+def select(docs: DataFrame, total: int | None = None, tree: Tree = Tree(), epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
+    """What is taken from docs (doc_id, text, lang, source): __id, __domain, __lang, __source, __tokens, __epoch, a row for each time."""
+    narrow, cuts = plan_cuts(docs, total, tree, epochs, seed)
+    return taken(narrow, cuts, seed, F.col("__tokens"))
 
 
 def mix_docs(docs: DataFrame, total: int | None = None, tree: Tree = Tree(), epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
     """The rows taken, with docs' columns; a row that several epochs take comes several times."""
     held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), *[docs[c] for c in ("doc_id", "text", "lang", "source")])
-    return select(held, total, tree, epochs, seed, ("__row",)).select("__row.*")
+    rows = _leaf(held).select("__row", "__id", *OWN)
+    return taken(rows, plan_cuts(docs, total, tree, epochs, seed)[1], seed, _tokens(F.col("__row.text"))).select("__row.*")
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
