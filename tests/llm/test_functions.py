@@ -176,13 +176,13 @@ def test_rule_ensemble_learns_a_conjunction():
 
 
 def test_warc_records_and_keys():
-    data = warc.record(7, "http://a.b/c\r\nd", "ñ".encode() * 600, None)
+    data = warc.record("f/0", 7, "http://a.b/c\r\nd", "ñ".encode() * 600, None, None)
     got = warc.parse(data)
     assert got.payload == "ñ".encode() * 600 and got.fields["WARC-Type"] == "response"
-    assert warc.parse(warc.record(7, "", b"x" * 2000, 9)).payload == b"" and b"WARC-Refers-To-Page-ID: 9" in warc.record(7, "", b"", 9)
+    assert warc.parse(warc.record("f/1", 7, "", b"x" * 2000, 9, "u")).payload == b"" and b"WARC-Refers-To-Page-ID: 9" in warc.record("f/2", 7, "", b"", 9, "u")
     with pytest.raises(ValueError):
         warc.parse(data[:-3] + b"zzz")
-    assert warc.key_of("https://www.Example.org:8080/A?b=1") == "org,example:8080)/a?b=1" and warc.key_of("") and warc.key_of("http://[bad") == "http://[bad"
+    assert warc.key_of("https://www.Example.org:8080/A?b=1") == "org,example:8080)/a?b=1" and warc.key_of("") and warc.key_of("http://[bad") == "http://[bad" and warc.key_of("http://a.b/c\r\nd") == warc.key_of("http://a.b/c%0D%0Ad") and "\t" not in warc.key_of("x\ty")
 
 
 def test_crc_is_over_little_endian_ids():

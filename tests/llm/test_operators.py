@@ -162,16 +162,42 @@ def test_toxicity_learns_held_out(spark):
     assert all((got[i].score >= 0.3) == bool(y) for i, _, y in rows)
 
 
-def test_warc_lookup(spark, tables):
+@pytest.mark.parametrize("broadcast", [0, warc.BROADCAST_DIGESTS])
+def test_warc_lookup(spark, tables, monkeypatch, broadcast):
     from textloom.llm.common import scratch
 
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", broadcast)
+    monkeypatch.setattr(warc, "BLOCK_LINES", 3)
     folder = scratch(spark, "warc-test")
     pages = spark.read.parquet(f"{tables}/pages.parquet")
-    directory = sorted((r.first_key, r.last_key, r.part, r.at, r.size) for r in warc.index(warc.write(pages, folder), folder).collect())
-    for r in pages.where("url is not null and page_id is not null").collect():
-        found = {x.fields["WARC-Page-ID"]: x for x in warc.lookup(directory, folder, r.url)}
-        assert str(r.page_id) in found
-    assert warc.lookup(directory, folder, "http://nowhere.example/") == []
+    parts = warc.part_list(warc.index(warc.write(pages, folder), folder))
+    names = Counter()
+    by_key = Counter((warc.key_of(r.url or ""), r.page_id) for r in pages.collect())
+    for url in {r.url for r in pages.collect() if r.url is not None}:
+        found = warc.lookup(parts, folder, url)
+        assert Counter((warc.key_of(x.fields["WARC-Target-URI"]), int(x.fields["WARC-Page-ID"] or -1)) for x in found) == Counter({(k, -1 if i is None else i): n for (k, i), n in by_key.items() if k == warc.key_of(url)})
+        names.update(x.fields["WARC-Record-ID"] for x in found)
+        for x in found:
+            if x.fields["WARC-Type"] == "revisit":
+                there = [y for y in warc.lookup(parts, folder, x.fields["WARC-Refers-To-Target-URI"]) if y.fields["WARC-Page-ID"] == x.fields["WARC-Refers-To-Page-ID"]]
+                assert there and all(y.fields["WARC-Payload-Digest"] == x.fields["WARC-Payload-Digest"] and hashlib.sha1(y.payload).digest() for y in there)
+    assert len(names) >= len({k for k, _ in by_key}) - 1
+    assert warc.lookup(parts, folder, "http://nowhere.example/") == []
+
+
+def test_warc_finds_a_lost_response(spark):
+    from textloom.llm.common import scratch
+
+    folder = scratch(spark, "warc-lost")
+    pages = spark.createDataFrame([(1, "http://a.example/", "x" * 2000), (2, "http://b.example/\tp", "x" * 2000)], "page_id long, url string, html string")
+    rows = warc.write(pages, folder)
+    parts = warc.part_list(warc.index(rows, folder))
+    keys = rows.selectExpr("key", "cast(null as long) page_id")
+    found = warc.look_up(keys, parts, folder)
+    assert {(r.page_id, r.record_type, r.refers_to, r.refers_url) for r in found.collect()} == {(1, "revisit", 2, "http://b.example/\tp"), (2, "response", None, None)}
+    warc.check_references(found, parts, folder)
+    with pytest.raises(ValueError, match="no response"):
+        warc.check_references(found.withColumn("refers_to", F.lit(7).cast("long")), parts, folder)
 
 
 def test_mixing_redistributes_to_siblings_first(spark):

@@ -16,12 +16,18 @@ SPACE = " \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset (tests), one of our own."""
-    held = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset and all run on one machine (tests), one of our own.
+
+    Checkpoints in it are deleted when their frames are collected as garbage."""
+    context = spark.sparkContext
+    held = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not held:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         held = tempfile.mkdtemp(prefix="textloom-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(held)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(held)
+    context._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     return held
 
 
@@ -53,15 +59,15 @@ def cut(df: DataFrame) -> DataFrame:
 HOT_KEYS, HOT_ROWS = 256, 1000
 
 
-def hot_join(rows: DataFrame, small: DataFrame, keys: list[str], weight: str) -> DataFrame:
-    """Inner join of rows with small, which has one row for each key and in the column weight its number of rows.
+def hot_join(rows: DataFrame, small: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:
+    """Join (inner or left) of rows with small, which has one row for each key and in the column weight its number of rows.
 
     Keys that hold HOT_ROWS rows and a HOT_KEYS-th of all rows or more are at most HOT_KEYS by this rule: they are broadcast
     and their rows stay where they are. All others are shuffled. No key, however many rows it has, meets in one task."""
     total = small.agg(F.sum(weight)).first()[0] or 0
     limit = max(HOT_ROWS, -(-total // HOT_KEYS))
     hot = F.broadcast(small.where(F.col(weight) >= limit))
-    others = rows.join(hot, keys, "left_anti").join(small.where(F.col(weight) < limit), keys)
+    others = rows.join(hot, keys, "left_anti").join(small.where(F.col(weight) < limit), keys, how)
     return rows.join(hot, keys).unionByName(others)
 
 
