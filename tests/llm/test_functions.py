@@ -143,15 +143,30 @@ def test_pivot_lists_find_each_link_once():
 def test_token_counts_equal_the_unigram_tokenizer():
     from tokenizers import Tokenizer, models, pre_tokenizers
 
-    pieces = token_counts.vocabulary()
-    for fallback, own in ((True, pieces), (False, [("<unk>", -3.0), ("▁", -2.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁a", -3.0), ("ba", -2.0), ("aba", -3.0)])):
+    pieces, hidden = token_counts.vocabulary()
+    shown = [(p if i not in hidden or p[:3] == "<0x" or i == 0 else f"\ue000{i}", x) for i, (p, x) in enumerate(pieces)]
+    for fallback, out, own in ((True, hidden, shown), (False, (0,), [("<unk>", -3.0), ("▁", -2.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁a", -3.0), ("ba", -2.0), ("aba", -3.0)])):
         whole = Tokenizer(models.Unigram(own, unk_id=0, byte_fallback=fallback))
         whole.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
-        counts = token_counts.WordCounts(own, byte_fallback=fallback)
+        counts = token_counts.WordCounts(own, out, fallback)
         texts = ODD + ["".join(rng.choice("ab ñé▁\n0.<>") for _ in range(rng.randint(1, 60))) for _ in range(400)] + ["".join(rng.choice("ab") for _ in range(30)) for _ in range(200)]
         assert [counts.text(t.encode()) for t in texts] == [len(e.ids) for e in whole.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_control_and_byte_pieces_match_no_text():
+    counts = token_counts.WordCounts(*token_counts.vocabulary())
+    assert counts.text(b"<s>") > 1 and counts.text(b"<0x41>") > 1 and counts.text("\u0378".encode()) == 3
+
+
+def test_any_other_tokenizer_gets_whole_texts():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words = packing.WordIds(path)
+    for text in ("Hello World again", "  two  spaces ", "É\x85 ñ\n\nx", ""):
+        assert np.frombuffer(words.text(text.encode()), "<u4").tolist() == words.whole.encode(text, add_special_tokens=False).ids
+
+
 def test_deobfuscation():
     words = ("the idiot went with a moron and the clown saw some trash here " * 40).encode()
     codes = toxicity.CODES[np.frombuffer(b" " + words, np.uint8)].astype(int)

@@ -46,9 +46,9 @@ PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*
 class WordIds(dict):
     """UTF-8 bytes of a word -> its ids as little-endian 32-bit bytes, by the tokenizer; a bounded cache.
 
-    This tokenizer drops white space and never joins over it, so a text's ids are its words' ids. Plain words go to the
+    The default tokenizer drops white space and never joins over it, so a text's ids are its words' ids. Plain words go to the
     tokenizer's model directly, lower-cased and with letters and marks apart as its own first steps do; all other words
-    go through the whole tokenizer."""
+    go through the whole tokenizer. Of any other tokenizer (path) nothing is assumed: it encodes whole texts."""
 
     def __init__(self, path: str | None):
         super().__init__()
@@ -56,6 +56,7 @@ class WordIds(dict):
         import public_tokenizers
         from tokenizers import Tokenizer, pre_tokenizers
 
+        self.by_words = path is None
         self.whole = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
         self.model = self.whole.model
         # the model's letter for each byte: printable bytes stand for themselves, the others follow from 256 on
@@ -85,6 +86,8 @@ class WordIds(dict):
 
     def text(self, text: bytes) -> bytes:
         """bytes.split() splits at ASCII white space only; other separators stay inside words for the tokenizer to judge."""
+        if not self.by_words:
+            return np.asarray(self.whole.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join([self[w] for w in text.split()])
 
 

@@ -6,8 +6,8 @@ end, the match that starts first stays. A character that no piece covers alone m
 10; with byte fallback it then counts as its UTF-8 bytes, else runs of unknown characters count as one.
 
 The vocabulary is a SentencePiece file's pieces and scores. Text is cut as the unigram tokenizer does: a space becomes the
-mark U+2581, one is put before the text, and each mark starts a word, which no piece crosses. A text's count is then the
-sum of its words' counts, so words are counted once and cached in a bounded dictionary in each worker.
+mark U+2581, one is put before the text, and each mark starts a word, which no piece crosses. Control, unknown, byte and
+unused pieces match no text: "<s>" in a text is three characters. A text's count is then the sum of its words' counts, so words are counted once and cached in a bounded dictionary in each worker.
 
 Scale: one pass, no shuffle. Defined cases: null and empty texts have no token; a null doc_id stays null; repeated rows
 each give a row; an empty table gives no row; other columns are ignored.
@@ -15,7 +15,8 @@ each give a row; an empty table gives no row; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,26 +27,34 @@ from textloom.llm.common import table, utf8_lists
 MARK, UNKNOWN_PENALTY, CACHE_WORDS = "▁", 10.0, 600_000
 
 
-def vocabulary(path: str | None = None) -> list[tuple[str, float]]:
-    """(piece, score) by id of a SentencePiece file; by default the public 32k one."""
+class Vocabulary(NamedTuple):
+    """Pieces with scores by id, and the ids of those that no text matches: control, unknown, byte and unused pieces."""
+
+    pieces: list[tuple[str, float]]
+    hidden: frozenset[int]
+
+
+def vocabulary(path: str | None = None) -> Vocabulary:
+    """The pieces of a SentencePiece file; by default the public 32k one."""
     import public_tokenizers
     from sentencepiece import SentencePieceProcessor
 
     held = SentencePieceProcessor(model_file=path or public_tokenizers.path("piece_bpe_32k.model"))
-    return [(held.id_to_piece(i), held.get_score(i)) for i in range(held.vocab_size())]
+    ids = range(held.vocab_size())
+    return Vocabulary([(held.id_to_piece(i), held.get_score(i)) for i in ids], frozenset(i for i in ids if held.is_control(i) or held.is_unknown(i) or held.is_byte(i) or held.is_unused(i)))
 
 
 class WordCounts(dict):
     """Word as UTF-8 bytes, without its mark -> number of pieces."""
 
-    def __init__(self, pieces: list[tuple[str, float]], unknown: int = 0, byte_fallback: bool = True):
+    def __init__(self, pieces: list[tuple[str, float]], hidden: Collection[int] = (0,), byte_fallback: bool = True):
         super().__init__()
         import ahocorasick
 
         self.matches = ahocorasick.Automaton()
         for i, (piece, score) in enumerate(pieces):
-            if piece:
-                self.matches.add_word(piece, (len(piece), score, i == unknown))
+            if piece and i not in hidden:
+                self.matches.add_word(piece, (len(piece), score))
         self.matches.make_automaton()
         self.unknown_score = min(s for _, s in pieces) - UNKNOWN_PENALTY
         names = {p for p, _ in pieces}
@@ -55,7 +64,7 @@ class WordCounts(dict):
         """Pieces on the best path of a word with its mark."""
         n = len(word)
         ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, (size, score, _) in self.matches.iter(word):
+        for end, (size, score) in self.matches.iter(word):
             ends[end].append((size, score))
         best, count, run = [0.0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
         for end in range(n):
@@ -92,7 +101,7 @@ def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) for each row of docs (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = WordCounts(vocabulary(path))
+        counts = WordCounts(*vocabulary(path))
         for key, texts in utf8_lists(batches):
             yield pa.RecordBatch.from_arrays([key, pa.array(map(len, texts), pa.int64()), pa.array(map(counts.text, texts), pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
