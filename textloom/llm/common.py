@@ -43,13 +43,6 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: lineage is cut, a lost executor costs no recomputing."""
-    spark = df.sparkSession
-    df.write.parquet(path := scratch(spark, name))
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a narrow frame in the shared folder; its files go when the frame is collected as garbage."""
     shared_dir(df.sparkSession)

@@ -65,13 +65,13 @@ def count_trigrams(docs: DataFrame) -> np.ndarray:
                 data, off = text_bytes(batch.column(0).slice(lo, 1000).fill_null(""))
                 if not len(data):
                     continue
-                codes = CODES[data]
-                codes = np.insert(codes, off[:-1], 0)
-                codes = np.concatenate([[0], codes, [0]]).astype(np.uint8)
+                # a word end before and after each text, and a mark between texts that no trigram crosses
+                codes = np.concatenate([[0], np.insert(CODES[data], np.repeat(off[1:-1], 3), [0, SIZE, 0] * (len(off) - 2)), [0]]).astype(np.int32)
                 twice = np.zeros(len(codes), bool)  # of a letter in several bytes, and of word ends, one stays
                 twice[1:] = ((codes[1:] == 0) | (codes[1:] == 27)) & (codes[1:] == codes[:-1])
-                codes = codes[~twice].astype(np.int32)
-                total += np.bincount(codes[:-2] * SIZE * SIZE + codes[1:-1] * SIZE + codes[2:], minlength=SIZE**3)
+                codes = codes[~twice]
+                whole = (codes[:-2] < SIZE) & (codes[1:-1] < SIZE) & (codes[2:] < SIZE)
+                total += np.bincount((codes[:-2] * SIZE * SIZE + codes[1:-1] * SIZE + codes[2:])[whole], minlength=SIZE**3)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["k", "n"])
 
