@@ -7,7 +7,8 @@
 4. mixing: documents are taken by the weights of their domain, language and source; several epochs repeat a document.
 5. packing: all documents left are packed into token sequences; the result is its pieces.
 
-Every stage is written as Parquet to the shared folder and read back, so a later stage never recomputes an earlier one.
+Every stage is written as Parquet to the shared folder and read back, so a later stage never recomputes an earlier one and a
+lost executor costs only its own tasks; the tables are deleted again, and the result is a checkpoint that goes with its frame.
 Null texts and ids, empty tables, repeated rows and further columns are handled as each operator states.
 """
 
@@ -18,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.llm import mixing, near_copies, packing, quality_rules, secrets
-from textloom.llm.common import staged, table
+from textloom.llm.common import cut, drop_path, scratch, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +55,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The pieces of the packed corpus. Each stage's table is deleted once the next one is written."""
+    docs, path = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        out = scratch(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(out)
+        if path:
+            drop_path(spark, path)
+        docs, path = spark.read.parquet(out), out
+    pieces = cut(docs)
+    drop_path(spark, path)
+    return pieces
