@@ -9,15 +9,16 @@ from textloom.functions.text import normalized_hash, text_hash
 
 
 def first_of(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Of rows with one key the first in order stays. The aggregate combines before the shuffle and the winner is joined
-    back, so no key's rows are gathered."""
-    first = df.groupBy(key).agg(F.min(order).alias("__first"))
-    return df.join(first, key).where(F.col(order) == F.col("__first")).drop("__first")
+    """Of rows with one key the first in order stays; order is unique to a row. Meant for narrow rows: keys and orders are combined
+    before the shuffle, and each row is joined to the winners by its own order, so no key's rows are gathered."""
+    first = df.groupBy(key).agg(F.min(order).alias(order)).select(order)
+    return df.join(first, order, "left_semi")
 
 
 def drop_duplicates(df: DataFrame, text: str, order: str, normalise: bool = True) -> DataFrame:
-    """Of rows with one (normalised) text the first in order stays."""
-    return first_of(df.withColumn("__hash", (normalized_hash if normalise else text_hash)(F.col(text))), "__hash", order).drop("__hash")
+    """Of rows with one (normalised) text the first in order stays. Only (hash, order) rows are grouped."""
+    keyed = df.select(order, (normalized_hash if normalise else text_hash)(F.col(text)).alias("__hash"))
+    return df.join(first_of(keyed, "__hash", order).select(order), order, "left_semi")
 
 
 def written(earlier: DataFrame, normalise: bool = True) -> DataFrame:

@@ -1,8 +1,8 @@
 """Machine text through pluggable providers, applied by Arrow batches with mapInPandas.
 
 A provider is a picklable object with complete(requests) -> list of (text, settings, error). Requests are dicts of provider,
-model, prompt, system, raw and the sampling parameters. Failures become rows with an error and no text, so a task never
-fails for one request. Transports are injected, so that no test needs a network."""
+model, prompt, system, raw and the sampling parameters. Failed requests become rows with an error and no text, so a task never
+fails for one of them; a provider that is not configured ends the job. Transports are injected, so that no test needs a network."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ import os
 import time
 import urllib.error
 import urllib.request
+import zlib
 from collections.abc import Callable, Iterator
 from email.utils import parsedate_to_datetime
 from typing import Any, NamedTuple, Protocol
@@ -195,18 +196,21 @@ class Router:
 def generate(df: DataFrame, provider: Provider, text: str = "completion", params: str = "generation_params", error: str = "error") -> DataFrame:
     """Adds text, params and error to df, whose request columns are provider, model, prompt, system, raw, temperature, top_p, repeat_penalty, max_tokens.
 
-    Rows are clustered by model first, so that a server loads each model as rarely as possible."""
+    Rows of each task are sorted by model, so that a server loads each model as rarely as possible; hosts are dealt by a hash of
+    the request, so they don't depend on the partitioning."""
     names = df.columns
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             texts, metas, errors = [], [], []
-            for i, request in enumerate(part.to_dict("records")):
+            for request in part.to_dict("records"):
                 try:
-                    got, meta = provider.complete(request | {"host_number": i})
+                    got, meta = provider.complete(request | {"host_number": zlib.crc32(f"{request['model']}|{request['prompt']}".encode())})
                     texts.append(got)
                     metas.append({k: meta.get(k) for k in ("provider", "temperature", "top_p", "repeat_penalty", "max_tokens", "host", "backend", "deployment", "rewrite_stage", "rewrite_style")})
                     errors.append(None)
+                except NotConfigured:  # no row can succeed
+                    raise
                 except Exception as e:  # one failed request is one dropped row
                     texts.append(None)
                     metas.append(None)

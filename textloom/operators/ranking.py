@@ -36,17 +36,23 @@ def with_ids(df: DataFrame, split: str, order: str, prefix: str, out: str = "id"
     return df.withColumn(out, F.format_string("%s_%s_%06d", F.lit(prefix), F.col(split), F.col("__number"))).drop("__number")
 
 
-def domain_balanced(df: DataFrame, domain: str, order: str, quotas: dict[str, float], leak: Column, slack: float = 1.12, leak_rate: float = 0.22) -> DataFrame:
+def by_quota(domain: str, quotas: dict[str, float], counts: dict[str, int]) -> Column:
+    """The quota domain that a row counts towards: its own, or where it has no quota the one with the fewest rows (by name where equal)."""
+    return F.when(F.col(domain).isin(*quotas), F.col(domain)).otherwise(min(sorted(quotas), key=lambda q: counts.get(q, 0)))
+
+
+def domain_balanced(df: DataFrame, domain: str, order: str, quotas: dict[str, float], leak: Column, slack: float = 1.12, leak_rate: float = 0.22, have: dict[str, int] | None = None, wanted: int | None = None) -> DataFrame:
     """Rows up to slack times their domain's quota of all rows, and of the rest those whose leak draw is below leak_rate.
 
-    Domains that have no quota count towards the quota domain with the fewest rows (by name where equal). No quotas: all rows."""
+    have: rows that each domain has so far; all rows are those and wanted (by default all of df) more. No quotas: all rows."""
     if not quotas:
         return df
-    total = sum(quotas.values()) or 1.0
-    counts = {r[0]: r[1] for r in df.groupBy(domain).count().where(F.col(domain).isin(*quotas)).collect()}
-    fallback = min(sorted(quotas), key=lambda q: counts.get(q, 0))
-    df = df.withColumn("__domain", F.when(F.col(domain).isin(*quotas), F.col(domain)).otherwise(fallback))
-    n = df.count()
-    limit = F.element_at(F.create_map(*[F.lit(x) for q, v in quotas.items() for x in (q, slack * v / total * n)]), F.col("__domain"))
-    ranked = numbered(df, ["__domain"], order, "__number")
+    total, have = sum(quotas.values()) or 1.0, have or {}
+    named = F.when(F.col(domain).isin(*quotas), F.col(domain))
+    here = {r[0]: r[1] for r in df.groupBy(named.alias("d")).count().collect()}  # a row for each quota, and one
+    counts = {q: have.get(q, 0) + here.get(q, 0) for q in quotas}
+    basis = sum(have.values()) + (sum(here.values()) if wanted is None else wanted)
+    limit = {q: slack * v / total * basis for q, v in quotas.items()}
+    limit = F.element_at(F.create_map(*[F.lit(x) for q, v in limit.items() for x in (q, max(0.0, v - have.get(q, 0)))]), F.col("__domain"))
+    ranked = numbered(df.withColumn("__domain", by_quota(domain, quotas, counts)), ["__domain"], order, "__number")
     return ranked.where((F.col("__number") <= F.ceil(limit)) | (leak < leak_rate)).drop("__number", "__domain")

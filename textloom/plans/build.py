@@ -1,10 +1,15 @@
-"""Dataset plans: documents -> labelled records, as one lazy DataFrame.
+"""Dataset plans: documents -> labelled records.
 
 Pair mode gives a human and a machine row for each document of which both pass; quota mode gives one row for each document,
-of the kind that its own order of kinds and the open targets choose. Stages only add columns; narrow columns decide."""
+of the kind that its own order of kinds and the open targets choose. Stages only add columns; narrow columns decide which
+documents are asked for machine text, a part of the documents at a time until limits and targets are met. A build runs
+Spark jobs when it is called: parts and decisions are reliable checkpoints, and the result is a DataFrame over them."""
 
 from __future__ import annotations
 
+from collections import Counter
+from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +22,8 @@ from textloom.functions.text import clean_text, combine, is_text_model, join_spa
 from textloom.operators import dedup, generation, ranking, sampling
 from textloom.operators.filters import is_garbage, not_empty, quality_reason
 from textloom.operators.pools import Entry
+from textloom.sources.shared import cut
+
 
 def keep(df: DataFrame, condition: Column) -> DataFrame:
     """df.where(condition) over columns that are costly to compute: the row number is not deterministic, so the optimiser
@@ -24,30 +31,63 @@ def keep(df: DataFrame, condition: Column) -> DataFrame:
     return df.withColumn("__at", F.monotonically_increasing_id()).where(condition & (F.col("__at") >= 0)).drop("__at")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """df computed once: a reliable checkpoint where the session has a shared folder for it, else kept by the executors."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
-        return df.checkpoint(eager=True)
-    return df.persist()
-
-
 OFFLINE = [Entry("offline", "offline-text", 1.0)]
 
 
 def prepare(docs: DataFrame, cfg: BuildConfig, normalise: bool = True) -> DataFrame:
-    """Documents worth sampling (text, doc_id, subset, domain) with sents, split, stress_mode and seq, their order."""
+    """Documents worth sampling (text, doc_id, subset, domain, seq) with sents, split and stress_mode."""
     key = F.col("doc_id")
-    df = docs.where(not_empty(F.col("text"))).withColumn("seq", digest(cfg.random_seed, key, "seq"))
-    if cfg.max_documents_scan is not None:
-        df = ranking.first_rows(df, [], "seq", cfg.max_documents_scan)
-    df = df.withColumn("__clean", clean_text(F.col("text"), normalise)).withColumn("sents", split_sentences(F.col("__clean")))
+    df = docs.withColumn("__clean", clean_text(F.col("text"), normalise)).withColumn("sents", split_sentences(F.col("__clean")))
     df = df.withColumn("__garbage", is_garbage(F.col("sents")))
     df = keep(df, ~F.col("__garbage"))
     df = df.withColumn("split", sampling.assign_split(cfg.random_seed, key, cfg.split_ratios, cfg.stress_fraction))
     return df.withColumn("stress_mode", F.col("split") == "stress").drop("__clean", "__garbage", "text")
 
 
+class Feed:
+    """The documents worth sampling, in the order of seq, a part at a time.
+
+    seq is a hash, so the share of documents up to a place is known without a sort. Documents are scanned and prepared in
+    blocks that grow with what is asked for; parts are filters on a block. Without a limit there is one part: all."""
+
+    def __init__(self, docs: DataFrame, cfg: BuildConfig):
+        self.cfg = cfg
+        self.docs = docs.where(not_empty(F.col("text"))).withColumn("seq", digest(cfg.random_seed, F.col("doc_id"), "seq"))
+        if cfg.max_documents_scan is not None:
+            last = ranking.numbered(self.docs.select("seq"), [], "seq", "n").where(F.col("n") == cfg.max_documents_scan).head(1)
+            if last or cfg.max_documents_scan <= 0:
+                self.docs = self.docs.where(F.col("seq") <= (last[0].seq if last else ""))
+        self.at, self.end, self.size, self.rows, self.block = "", "", 0, None, None
+
+    def done(self) -> bool:
+        return self.at == LAST
+
+    def take(self, size: int | None = None) -> DataFrame:
+        """About the next size documents; all that are left where size is None."""
+        if size is None:
+            rest = prepare(self.docs.where(F.col("seq") > self.at), self.cfg)
+            self.at = self.end = LAST
+            return rest
+        if self.rows is None:
+            self.rows = max(1, self.docs.select("seq").count())
+        if self.at >= self.end:
+            self.size = max(4 * size, 2 * self.size)
+            self.end = self._after(self.at, self.size)
+            self.block = cut(prepare(self.docs.where((F.col("seq") > self.at) & (F.col("seq") <= self.end)), self.cfg))
+        upto = min(self.end, self._after(self.at, size))
+        part = self.block.where((F.col("seq") > self.at) & (F.col("seq") <= upto))
+        self.at = upto
+        return part
+
+    def _after(self, at: str, size: int) -> str:
+        place = int((at[:13] or "0").ljust(13, "0"), 16) + max(1, size * 16**13 // self.rows)
+        return f"{place:013x}" if place < 16**13 else LAST
+
+
+#: Above every hash.
+LAST = "g"
+
+
 def _augmented(df: DataFrame, base: str, cfg: BuildConfig, purpose: str, out: str) -> DataFrame:
     a = cfg.augment
     return augment(df, base, F.col("stress_mode"), cfg.random_seed, F.col("doc_id"), purpose, out, f"{out}_log", kernels=a.char_augs, adjectives="adjective_remove" in a.word_augs, chances=(a.augment_prob_none, a.augment_prob_one), stress_chances=(a.stress_augment_prob_none, a.stress_augment_prob_one))
@@ -152,39 +192,136 @@ def record(kind: str, cfg: BuildConfig) -> Column:
     )
 
 
-def build_pairs(docs: DataFrame, cfg: BuildConfig, train: list[Entry] = OFFLINE, stress: list[Entry] = (), provider: generation.Provider | None = None, earlier: DataFrame | None = None, offsets: DataFrame | None = None) -> DataFrame:
-    """Human rows, and with skip_ai off a machine row beside each; a pair is kept only if both sides pass."""
-    df = keep(add_human(prepare(docs, cfg), cfg), F.col("h_reason") == "ok")
-    bases = {"human": "h_base"}
-    if not cfg.skip_ai:
-        df = keep(add_machine(df, cfg, list(train), list(stress), provider), F.col("a_reason") == "ok")
-        bases["direct_ai"] = "a_base"
-    df = settle(df)
-    # only narrow rows decide: order, hashes, domain and split
+@dataclass
+class Report:
+    """What a build did: documents read in parts, requests to providers, rows by kind and by domain."""
+
+    documents: int = 0
+    parts: int = 0
+    requests: int = 0
+    rows: Counter = field(default_factory=Counter)
+    domains: Counter = field(default_factory=Counter)
+
+    def add(self, chosen: DataFrame, kinds: list[str], quotas: dict[str, float]) -> int:
+        """Counts the chosen rows (domain, and where kinds is empty bucket); how many there are."""
+        domain = by_quota_now(quotas, self.domains)
+        found = chosen.groupBy(domain.alias("d"), (F.lit(None).cast("string") if kinds else F.col("bucket")).alias("b")).count().collect()
+        for r in found:
+            self.domains[r.d] += r[2]
+            self.rows.update({k: r[2] for k in kinds or [r.b]})
+        return sum(r[2] for r in found)
+
+
+def by_quota_now(quotas: dict[str, float], counts: dict[str, int]) -> Column:
+    return ranking.by_quota("domain", quotas, counts) if quotas else F.lit("")
+
+
+def _balanced(rows: DataFrame, cfg: BuildConfig, report: Report, wanted: int | None) -> DataFrame:
+    """rows without what the domain balance leaves out; below BALANCE_FROM rows nothing is left out."""
+    have = sum(report.domains.values())
+    if wanted is not None and have + wanted < BALANCE_FROM:
+        return rows
+    return ranking.domain_balanced(rows, "domain", "seq", cfg.domain_quotas, uniform(cfg.random_seed, F.col("doc_id"), "balance"), have=dict(report.domains), wanted=wanted)
+
+
+#: Rows from which domains are balanced (fixed value of the rule).
+BALANCE_FROM = 80
+
+
+class Written:
+    """Hashes of texts that are written: of earlier output, and of the parts so far."""
+
+    def __init__(self, earlier: DataFrame | None, normalise: bool):
+        self.known = [] if earlier is None else [dedup.written(earlier, normalise)]
+
+    def new(self, rows: DataFrame, key: str) -> DataFrame:
+        for k in self.known:
+            rows = rows.join(k.withColumnRenamed("__hash", key), key, "left_anti")
+        return rows
+
+    def add(self, rows: DataFrame, keys: list[str]) -> None:
+        if len(self.known) > 8:
+            self.known = [cut(reduce(DataFrame.unionAll, self.known))]
+        self.known.append(rows.select(F.explode(F.array(*keys)).alias("__hash")))
+
+
+def build_pairs(docs: DataFrame, cfg: BuildConfig, train: list[Entry] = OFFLINE, stress: list[Entry] = (), provider: generation.Provider | None = None, earlier: DataFrame | None = None, offsets: DataFrame | None = None, report: Report | None = None) -> DataFrame:
+    """Human rows, and with skip_ai off a machine row beside each; a pair is kept only if both sides pass.
+
+    Documents come in the order of seq. Of those with one human text the first is asked for its machine row; where that fails,
+    the next one is. With num_pairs, parts of documents are taken until there are so many pairs, so requests are few more
+    than pairs; without, all documents are one part. Only narrow rows decide: order, hashes, domain and split."""
     of = normalized_hash if cfg.dedup_normalize_text else text_hash
-    rows = df.select("seq", "doc_id", "domain", "split", *[of(F.col(b)).alias(k) for k, b in bases.items()])
-    for k in bases:
-        rows = dedup.first_of(rows, k, "seq")
-        if earlier is not None:
-            rows = rows.join(dedup.written(earlier, cfg.dedup_normalize_text).withColumnRenamed("__hash", k), k, "left_anti")
-    rows = ranking.domain_balanced(rows, "domain", "seq", cfg.domain_quotas, uniform(cfg.random_seed, F.col("doc_id"), "balance"))
-    if cfg.num_pairs is not None:
-        rows = ranking.first_rows(rows, [], "seq", cfg.num_pairs)
-    return _with_records(df, ranking.numbered(rows, ["split"], "seq", "__number").select("seq", "__number"), [F.lit(k) for k in bases], cfg, offsets)
-
-
-def _with_records(df: DataFrame, chosen: DataFrame, kinds: list[Column], cfg: BuildConfig, offsets: DataFrame | None) -> DataFrame:
-    """The records of the chosen documents (seq, __number within the split): one for each of kinds, with dense ids."""
-    rows = df.join(chosen, "seq")
+    feed, report, written = Feed(docs, cfg), report or Report(), Written(earlier, cfg.dedup_normalize_text)
+    made: list[tuple[DataFrame, DataFrame]] = []
+    kinds, pairs, tried = ["human"] if cfg.skip_ai else ["human", "direct_ai"], 0, 0
+    while not feed.done() and (cfg.num_pairs is None or pairs < cfg.num_pairs):
+        left = None if cfg.num_pairs is None else cfg.num_pairs - pairs
+        size = None if left is None else int(1.15 * left / max(0.02, pairs / tried if pairs else 0.5 if not tried else 0.5 / tried)) + 4
+        part = feed.take(size)
+        human = cut(keep(add_human(part, cfg), F.col("h_reason") == "ok"))
+        rows = human.select("seq", "doc_id", "domain", "split", of(F.col("h_base")).alias("h"))
+        rows = cut(_balanced(written.new(rows, "h"), cfg, report, left))
+        report.parts += 1
+        tried += size or 0
+        while True:
+            asked = cut(dedup.first_of(rows, "h", "seq"))
+            if cfg.skip_ai:
+                full, good = human, asked
+            else:
+                full = cut(keep(add_machine(human.join(asked.select("seq"), "seq", "left_semi"), cfg, list(train), list(stress), provider), F.col("a_reason") == "ok"))
+                good = asked.join(full.select("seq", of(F.col("a_base")).alias("a")), "seq")
+                good = dedup.first_of(written.new(good, "a"), "a", "seq")
+                report.requests += asked.count()
+            if left is not None:
+                good = ranking.first_rows(good, [], "seq", left)
+            good = cut(good)
+            n = report.add(good, kinds, cfg.domain_quotas)
+            made.append((full, good))
+            written.add(good, ["h"] if cfg.skip_ai else ["h", "a"])
+            pairs, left = pairs + n, None if left is None else left - n
+            if cfg.skip_ai or left == 0:
+                break
+            rows = cut(rows.join(asked.select("seq"), "seq", "left_anti").join(good.select("h"), "h", "left_anti"))
+            if rows.isEmpty():
+                break
+    if not made:
+        part = add_human(prepare(feed.docs.where("false"), cfg), cfg)
+        full = part if cfg.skip_ai else add_machine(part, cfg, list(train), list(stress), provider)
+        made.append((full, full.select("seq", "doc_id", "domain", "split")))
+    chosen = reduce(DataFrame.unionAll, [g.select("seq", "split") for _, g in made])
+    numbers = cut(ranking.numbered(chosen, ["split"], "seq", "__number").select("seq", "__number"))
+    records = [_records(full.join(good.select("seq"), "seq", "left_semi"), kinds, cfg) for full, good in made]
+    return _with_ids(reduce(DataFrame.unionAll, records), numbers, len(kinds), cfg, offsets)
+
+
+def _records(df: DataFrame, kinds: list[str], cfg: BuildConfig) -> DataFrame:
+    """(seq, place, r): the records of each row of df, one of each kind in its place."""
+    return df.select("seq", F.posexplode(F.array(*[record(k, cfg) for k in kinds])).alias("place", "r"))
+
+
+def _with_ids(records: DataFrame, numbers: DataFrame, width: int, cfg: BuildConfig, offsets: DataFrame | None) -> DataFrame:
+    """The records (seq, place, r) with dense ids; numbers (seq, __number within the split), width: records of a number."""
+    rows = records.join(numbers, "seq")
     if offsets is not None:
-        rows = rows.join(F.broadcast(offsets.select("split", F.col("last").alias("__last"))), "split", "left")  # one row for each split
+        last = F.broadcast(offsets.select(F.col("split").alias("__split"), F.col("last").alias("__last")))  # one row for each split
+        rows = rows.join(last, F.col("r.split") == F.col("__split"), "left")
     else:
         rows = rows.withColumn("__last", F.lit(0).cast("long"))
-    made = {k: record(k, cfg) for k in (BUCKETS if "m_base" in df.columns else BUCKETS[:2] if "a_base" in df.columns else BUCKETS[:1])}
-    pick = lambda kind: F.coalesce(*[F.when(kind == k, r) for k, r in made.items()])
-    number = (F.col("__number") - 1) * len(kinds) + F.col("place") + 1 + F.coalesce("__last", F.lit(0))
-    out = rows.select("__number", "__last", F.posexplode(F.array(*[pick(k) for k in kinds])).alias("place", "r"))
-    return out.select(F.format_string("%s_%s_%06d", F.lit(cfg.id_prefix), F.col("r.split"), number).alias("id"), "r.*")
+    number = (F.col("__number") - 1) * width + F.col("place") + 1 + F.coalesce("__last", F.lit(0))
+    return rows.select(F.format_string("%s_%s_%06d", F.lit(cfg.id_prefix), F.col("r.split"), number).alias("id"), "r.*")
+
+
+def first_filled(rows: DataFrame, left: dict[str, int]) -> tuple[str, str] | None:
+    """(seq, bucket) of the row (seq, bucket) of rows at which, in the order of seq, a bucket first reaches what is left of its target."""
+    full = ranking.numbered(rows.select("seq", "bucket"), ["bucket"], "seq", "__n")
+    goal = F.element_at(F.create_map(*[F.lit(x) for kv in left.items() for x in kv]), F.col("bucket"))
+    ends = full.where(F.col("__n") == goal).select("seq", "bucket").orderBy("seq").limit(1).collect()
+    return (ends[0][0], ends[0][1]) if ends else None
+
+
+def first_open(order: str, open_now: list[str]) -> Column:
+    return F.get(F.filter(order, lambda b: b.isin(*open_now)), F.lit(0))
 
 
 def assign_quotas(df: DataFrame, targets: dict[str, int], seq: str = "seq", order: str = "buckets", ok: str = "ok") -> DataFrame:
@@ -193,43 +330,83 @@ def assign_quotas(df: DataFrame, targets: dict[str, int], seq: str = "seq", orde
     Rows come in order of seq; each takes the first open bucket of its own order (array) and counts if ok[bucket] is true;
     a bucket closes at its target. Set-based: within a round the open buckets are fixed, and the round ends with the row at
     which one of them fills, so there are at most as many rounds as buckets; only (seq, bucket) rows are numbered."""
-    open_now, out, rest = [b for b in BUCKETS if targets.get(b, 0) > 0], None, df
+    open_now, out, rest = [b for b in BUCKETS if targets.get(b, 0) > 0], None, df.withColumn("seq", F.col(seq))
     while open_now:
-        first = F.get(F.filter(order, lambda b: b.isin(*open_now)), F.lit(0))
-        taken = rest.withColumn("bucket", first).where(F.col(ok)[F.col("bucket")])
-        full = ranking.numbered(taken.select(seq, "bucket"), ["bucket"], seq, "__n")
-        goal = F.element_at(F.create_map(*[F.lit(x) for b in open_now for x in (b, targets[b])]), F.col("bucket"))
-        ends = full.where(F.col("__n") == goal).select(seq, "bucket").orderBy(seq).limit(1).collect()
-        if not ends:
-            out = taken if out is None else out.unionAll(taken)
-            break
-        end, filled = ends[0][0], ends[0][1]
-        part = taken.where(F.col(seq) <= end)
+        taken = rest.withColumn("bucket", first_open(order, open_now)).where(F.col(ok)[F.col("bucket")])
+        end = first_filled(taken, {b: targets[b] for b in open_now})
+        part = taken if end is None else taken.where(F.col("seq") <= end[0])
         out = part if out is None else out.unionAll(part)
+        if end is None:
+            break
         counts = {r[0]: r[1] for r in part.groupBy("bucket").count().collect()}
         targets = {b: targets[b] - counts.get(b, 0) for b in open_now}
-        open_now = [b for b in open_now if targets[b] > 0 and b != filled]
-        rest = rest.where(F.col(seq) > end)
+        open_now = [b for b in open_now if targets[b] > 0 and b != end[1]]
+        rest = rest.where(F.col("seq") > end[0])
     return df.withColumn("bucket", F.lit(None).cast("string")).limit(0) if out is None else out
 
 
-def build_quotas(docs: DataFrame, cfg: BuildConfig, train: list[Entry] = OFFLINE, stress: list[Entry] = (), rewriters: list[Entry] = (), provider: generation.Provider | None = None, earlier: DataFrame | None = None, offsets: DataFrame | None = None) -> DataFrame:
-    """One row for each document, of the bucket that is its turn, until all targets are met."""
-    df = add_human(prepare(docs, cfg), cfg)
-    df = add_machine(df, cfg, list(train), list(stress), provider)
-    df = add_mixed(add_hard(df, cfg, list(rewriters or train), provider), cfg)
-    passed = F.create_map(*[x for b, c in zip(BUCKETS, ("h", "a", "r", "m"), strict=True) for x in (F.lit(b), F.col(f"{c}_reason") == "ok")])
-    df = df.withColumns({"buckets": sampling.bucket_order(cfg.random_seed, F.col("doc_id")), "ok": passed})
+def _of_bucket(df: DataFrame, bucket: str, cfg: BuildConfig, train: list[Entry], stress: list[Entry], rewriters: list[Entry], provider: generation.Provider | None) -> DataFrame:
+    """(seq, doc_id, domain, split, bucket, ok, hash, r) of documents whose turn is one bucket; only what its record needs is made."""
+    short = {"human": "h", "direct_ai": "a", "hard_ai": "r", "mixed": "m"}[bucket]
+    df = df.where(F.col("bucket") == bucket)
+    if bucket in ("human", "mixed"):
+        df = add_human(df, cfg)
+    if bucket == "mixed":  # no request where the human side fails
+        df = keep(df, F.col("h_reason") == "ok")
+    if bucket != "human":
+        df = add_machine(df, cfg, train, stress, provider)
+    if bucket == "hard_ai":
+        df = add_hard(df, cfg, rewriters, provider)
+    if bucket == "mixed":
+        df = add_mixed(df, cfg)
     of = normalized_hash if cfg.dedup_normalize_text else text_hash
-    text = F.create_map(*[x for b, c in zip(BUCKETS, ("h", "a", "r", "m"), strict=True) for x in (F.lit(b), of(F.col(f"{c}_base")))])
-    df = settle(df.withColumn("hashes", text))
-    rows = assign_quotas(df.select("seq", "split", "buckets", "ok", "hashes"), cfg.sample_targets or {}, "seq")
-    rows = dedup.first_of(rows.select("seq", "split", "bucket", F.col("hashes")[F.col("bucket")].alias("__hash")), "__hash", "seq")
-    if earlier is not None:
-        rows = rows.join(dedup.written(earlier, cfg.dedup_normalize_text), "__hash", "left_anti")
-    chosen = ranking.numbered(rows, ["split"], "seq", "__number").select("seq", "bucket", "__number")
-    return _with_records(df, chosen, [F.col("bucket")], cfg, offsets)
+    return df.select("seq", "doc_id", "domain", "split", "bucket", (F.col(f"{short}_reason") == "ok").alias("ok"), of(F.col(f"{short}_base")).alias("hash"), record(bucket, cfg).alias("r"))
+
+
+def build_quotas(docs: DataFrame, cfg: BuildConfig, train: list[Entry] = OFFLINE, stress: list[Entry] = (), rewriters: list[Entry] = (), provider: generation.Provider | None = None, earlier: DataFrame | None = None, offsets: DataFrame | None = None, counts: dict[str, int] | None = None, report: Report | None = None) -> DataFrame:
+    """One row for each document, of the bucket that is its turn, until all targets are met; counts: rows that are written already.
+
+    Equal to a sequential run over documents in the order of seq: each takes the first open bucket of its own order, and counts if
+    its row passes and its text is new; a bucket closes at its target. Documents come in parts. Within a part the open buckets
+    are fixed and each document is made for one bucket; the part ends with the row at which one fills, and what
+    follows it comes again. A part is about as large as the next bucket to fill needs, so few requests are made in vain."""
+    feed, report, written = Feed(docs, cfg), report or Report(), Written(earlier, cfg.dedup_normalize_text)
+    left = {b: (cfg.sample_targets or {}).get(b, 0) - (counts or {}).get(b, 0) for b in BUCKETS}
+    open_now, made, tried, rows_made = [b for b in BUCKETS if left[b] > 0], [], 0, 0
+    pools = (list(train), list(stress), list(rewriters or train), provider)
+    while open_now and not feed.done():
+        rate = rows_made / tried if rows_made else 0.5 if not tried else 0.5 / tried
+        size = int(1.15 * min(left[b] for b in open_now) * len(open_now) / max(0.02, rate)) + 4
+        began = feed.at
+        part = feed.take(size).withColumn("buckets", sampling.bucket_order(cfg.random_seed, F.col("doc_id"))).withColumn("bucket", first_open("buckets", open_now))
+        turn = cut(_balanced(part.select("seq", "doc_id", "domain", "bucket"), cfg, report, min(sum(left[b] for b in open_now), size)).select("seq"))
+        part = part.join(turn, "seq", "left_semi")
+        found = cut(reduce(DataFrame.unionAll, [_of_bucket(part, b, cfg, *pools) for b in open_now]))
+        rows = found.where("ok").select("seq", "doc_id", "domain", "split", "bucket", "hash")
+        rows = cut(dedup.first_of(written.new(rows, "hash"), "hash", "seq"))
+        end = first_filled(rows, {b: left[b] for b in open_now})
+        if end:
+            feed.at = end[0]
+            rows = rows.where(F.col("seq") <= end[0])
+        report.parts += 1
+        report.requests += sum(r[1] * (2 if r[0] == "hard_ai" else 1) for r in found.where("bucket <> 'human'").groupBy("bucket").count().collect())
+        before = report.rows.copy()
+        rows_made += report.add(rows, [], cfg.domain_quotas)
+        tried += turn.where(F.col("seq") <= end[0]).count() if end else turn.count()
+        made.append((found, rows))
+        written.add(rows, ["hash"])
+        left = {b: left[b] - report.rows[b] + before[b] for b in BUCKETS}
+        open_now = [b for b in open_now if left[b] > 0]
+        assert feed.at > began
+    if not made:
+        empty = prepare(feed.docs.where("false"), cfg).withColumn("bucket", F.lit("human"))
+        found = _of_bucket(empty, "human", cfg, *pools)
+        made.append((found, found.drop("r", "ok")))
+    chosen = cut(reduce(DataFrame.unionAll, [g.select("seq", "split") for _, g in made]))
+    numbers = cut(ranking.numbered(chosen, ["split"], "seq", "__number").select("seq", "__number"))
+    records = [f.join(g.select("seq"), "seq", "left_semi").select("seq", F.lit(0).alias("place"), "r") for f, g in made]
+    return _with_ids(reduce(DataFrame.unionAll, records), numbers, 1, cfg, offsets)
 
 
 def build(docs: DataFrame, cfg: BuildConfig, **more: Any) -> DataFrame:
-    return build_quotas(docs, cfg, **more) if cfg.sample_targets is not None else build_pairs(docs, cfg, **{k: v for k, v in more.items() if k != "rewriters"})
+    return build_quotas(docs, cfg, **more) if cfg.sample_targets is not None else build_pairs(docs, cfg, **{k: v for k, v in more.items() if k not in ("rewriters", "counts")})
