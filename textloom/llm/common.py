@@ -1,9 +1,7 @@
-"""Helpers that the operators of this subpackage share: the shared folder, staged tables, Arrow batches."""
+"""Helpers that the operators of this subpackage share: joins of skewed keys, tile pairs, Arrow batches; and the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,45 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.sources.shared import cut, drop_path, scratch, shared_dir  # noqa: F401
+
 #: The six ASCII white space characters that end a word: \x20 and \x09-\x0D.
 SPACE = " \t\n\x0b\x0c\r"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset and all run on one machine (tests), one of our own.
-
-    Checkpoints in it are deleted when their frames are collected as garbage."""
-    context = spark.sparkContext
-    held = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not held:
-        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        held = tempfile.mkdtemp(prefix="textloom-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(held)
-    context._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-    return held
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Deletes a path that scratch() gave, through Spark's own file system layer."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a narrow frame in the shared folder; its files go when the frame is collected as garbage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 HOT_KEYS, HOT_ROWS = 256, 1000
+#: Narrow rows up to which a table of keys is broadcast.
+BROADCAST_KEYS = 300_000
 
 
 def hot_join(rows: DataFrame, small: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:
@@ -73,7 +41,12 @@ def tile_pairs(items: DataFrame, keys: list[str], tile: Column, steps: Iterable[
     one, so a crowded key makes many tasks, not a large one."""
     last = keys[-1]
     crowd = items.groupBy(*keys).agg(F.count("*").alias("__n")).withColumn("__subs", F.ceil(F.col("__n") / tile).cast("int"))
-    dealt = hot_join(items, cut(crowd), keys, "__n").withColumn("sub", F.pmod(F.xxhash64("item.id"), F.col("__subs")).cast("int"))
+    crowd = cut(crowd.where("__subs > 1"))  # at most a tile-th as many as items
+    if crowd.count() <= BROADCAST_KEYS:
+        dealt = items.join(F.broadcast(crowd), keys, "left")
+    else:
+        dealt = hot_join(items, crowd, keys, "__n", "left")
+    dealt = dealt.withColumn("sub", F.pmod(F.xxhash64("item.id"), F.coalesce("__subs", F.lit(1))).cast("int"))
     tiles = cut(dealt.groupBy(*keys, "sub").agg(F.collect_list("item").alias("items")))
     own = tiles.select((F.monotonically_increasing_id() * 2).alias("pair"), F.lit(True).alias("same"), F.col("items").alias("lefts"), F.slice("items", 1, 0).alias("rights"), *keys)
     names = tiles.select(*keys, "sub")

@@ -169,7 +169,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, prefix: int = PR
     rows = rows.withColumn("u", F.xxhash64("label", "v"))
     distinct = cut(rows.where("sound").groupBy("u", "label", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")))
     held = vectors.sparkSession.sparkContext.broadcast(fit_pivots(distinct, pivots))
-    listed = described(distinct, held, prefix).select("label", F.size("v").alias("size"), F.explode("pivots").alias("pivot"), F.struct(F.col("u").alias("id"), "copies", "v", "pivots").alias("item"))
+    listed = cut(described(distinct, held, prefix)).select("label", F.size("v").alias("size"), F.explode("pivots").alias("pivot"), F.struct(F.col("u").alias("id"), "copies", "v", "pivots").alias("item"))
     found = cut(pair_links(tile_pairs(listed, ["label", "size", "pivot"], F.lit(tile)), cosine, shared))
     more = found.where("b is null").groupBy(F.col("a").alias("u")).agg(F.sum("n").alias("more"))
     of = components(found.where("b is not null").select("a", "b")).select(F.col("vertex").alias("u"), "component")

@@ -44,11 +44,13 @@ ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
 #: A line end, as it is or as JSON writes it (once or twice escaped), with the next line's indent.
 LINE_END = r"(?:\r?\n|(?:\\{1,2}r)?\\{1,2}n)[ \t]*"
 BLOB = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-HEX_RUN = re.compile(r"(?:[0-9a-f]{2}){16,}|(?:[0-9A-F]{2}){16,}")
+HEX_RUN = re.compile(r"[0-9a-f]{32,}|[0-9A-F]{32,}")
 #: Lines of base64 that make one value.
-LINES = re.compile(rf"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{{40,}}+(?:{LINE_END}[A-Za-z0-9+/]+)+={{0,2}}")
+LINES = re.compile(rf"[A-Za-z0-9+/]{{40,}}+(?:{LINE_END}[A-Za-z0-9+/]+)+={{0,2}}")
 #: Where base64 of a DER sequence or of an OpenSSH key may begin (fixed values: the first bits of their first bytes).
-DER_AT, OPENSSH_AT = re.compile(r"(?<![A-Za-z0-9+])M[A-P][A-Za-z0-9+/_-]{6}"), "b3BlbnNzaC1rZXktdjEA"
+DER_AT, OPENSSH_AT = re.compile(r"M(?=[A-P][A-Za-z0-9+/_-]{6})"), "b3BlbnNzaC1rZXktdjEA"
+#: Characters after which no encoding begins.
+INNER = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+")
 RUN_OF, PADDING = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile("={0,2}")
 BREAK = re.compile(LINE_END)
 #: How often an encoding may lie within another.
@@ -58,7 +60,17 @@ KEYWORDS = (b"passw", b"secret", b"token", b"api_key", b"apikey")
 #: Characters of hex, base64 and both forms of base64url: a long run of them is a candidate.
 RUN = np.zeros(256, bool)
 RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
-STEP = 16
+STEP = 24
+#: Which characters base64 of plain ASCII text has at each of the four places of a group.
+_B64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+PLACES = np.zeros((4, 256), bool)
+for _a in [9, 10, 13, *range(32, 127)]:
+    PLACES[0, ord(_B64[_a >> 2])] = True
+    for _v in range(4):
+        PLACES[1, ord(_B64[_v << 4 | _a >> 4])] = True
+    for _v in range(16):
+        PLACES[2, ord(_B64[_v << 2 | _a >> 6])] = True
+PLACES[3] = RUN
 
 
 def base_spans(text: str) -> list[Span]:
@@ -215,7 +227,7 @@ def place_of(chars: int, ends: list[tuple[int, int]]) -> int:
 def unarmoured(text: str) -> list[Span]:
     """Key encodings in base64 without armour: each declares its own length, so what follows it does not matter."""
     out, done = [], 0
-    starts = [(m.start(), None) for m in DER_AT.finditer(text)]
+    starts = [(m.start(), None) for m in DER_AT.finditer(text) if m.start() == 0 or text[m.start() - 1] not in INNER]
     at = text.find(OPENSSH_AT)
     while at >= 0:
         starts.append((at, "openssh"))
@@ -293,7 +305,12 @@ def method_spans(text: str, depth: int = 0) -> list[Span]:
     cover(out)
     cover(more := [x for x in unarmoured(text) if not within[x[0]]])
     out += more
-    for m in LINES.finditer(text):
+    blobs = list(BLOB.finditer(text))
+    for blob in blobs:
+        at = blob.start() + max(blob[0].rfind("-"), blob[0].rfind("_")) + 1
+        m = LINES.match(text, at) if blob.end() - at >= 40 else None
+        if m is None:
+            continue
         lines = BREAK.split(m[0])
         width = len(lines[1]) if len(lines) > 2 else len(lines[0])
         if within[m.start()] or len(lines[1]) > width or len(lines[0]) < width:
@@ -305,11 +322,13 @@ def method_spans(text: str, depth: int = 0) -> list[Span]:
             start, stop = place_of(found[0], [(0, m.start()), *ends]), place_of(min(found[1], ends[-1][0]), ends)
             out.append((start, "nested", stop + len(PADDING.match(text, stop)[0])))
             cover(out[-1:])
-    for m in HEX_RUN.finditer(text):
-        if not within[m.start()] and (found := confirmed(bytes.fromhex(m[0]), depth)):
-            out.append((m.start(), found[0], m.start() + 2 * found[1]))
-            cover(out[-1:])
-    for m in BLOB.finditer(text):
+    for blob in blobs:
+        for m in HEX_RUN.finditer(blob[0]) if blob.end() - blob.start() >= 32 else ():
+            at, run = blob.start() + m.start(), m[0][: len(m[0]) // 2 * 2]
+            if not within[at] and (found := confirmed(bytes.fromhex(run), depth)):
+                out.append((at, found[0], at + 2 * found[1]))
+                cover(out[-1:])
+    for m in blobs:
         if not within[m.start()] and (found := nested_in(m[0], depth)) and not within[m.start() + found[0]]:
             out.append((m.start() + found[0], "nested", m.start() + found[1]))
     return out
@@ -335,7 +354,7 @@ def suspects(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
             while p >= 0:
                 at.append(p)
                 p = held.find(w, p + 1)
-    # a run of 16 characters covers a position in every 16, and at least 8 of it lie on one side of that
+    # a run of 24 characters covers a position in every 24, and at least 12 of it lie on one side of that
     is_run, n = RUN[data], len(data)
     pos = np.arange(STEP - 1, n, STEP)
     pos = pos[is_run[pos]]
@@ -345,6 +364,12 @@ def suspects(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         for k in (reach, *range(1, reach)):
             p = p[is_run[p + sign * k]]
         at += p.tolist()
+    # a shorter run can only hold encoded plain text: four groups of what that looks like
+    if n >= 16:
+        group = PLACES[0][data[: n - 3]]
+        for k in (1, 2, 3):
+            group &= PLACES[k][data[k : n - 3 + k]]
+        at += np.flatnonzero(group[:-12] & group[4:-8] & group[8:-4] & group[12:]).tolist()
     return np.unique(np.searchsorted(starts, np.asarray(at, np.int64), side="right") - 1) if at else np.zeros(0, np.int64)
 
 
