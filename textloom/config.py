@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field, fields
 from pathlib import Path
 from typing import Any
@@ -16,6 +17,21 @@ def load_yaml(path: str | Path) -> dict[str, Any]:
     return yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
 
 
+def load_env(path: str | Path) -> dict[str, str]:
+    """NAME=value lines of a file into the environment; what is set already stays. Comments, quotes and "export" are understood; no file: nothing."""
+    out: dict[str, str] = {}
+    if not Path(path).is_file():
+        return out
+    for line in Path(path).read_text(encoding="utf-8").splitlines():
+        name, sign, value = line.strip().removeprefix("export ").partition("=")
+        if not sign or not name.strip().isidentifier() or line.lstrip().startswith("#"):
+            continue
+        value = value.strip()
+        value = value[1:-1] if len(value) > 1 and value[0] == value[-1] and value[0] in "'\"" else value.split(" #", 1)[0].strip()
+        out[name.strip()] = os.environ.setdefault(name.strip(), value)
+    return out
+
+
 def _known(kind: type, raw: dict[str, Any]) -> dict[str, Any]:
     names = {f.name for f in fields(kind)}
     return {k: tuple(v) if isinstance(v, list) else v for k, v in raw.items() if k in names and v is not None}
@@ -87,6 +103,8 @@ class BuildConfig:
     domain_quotas: dict[str, float] = field(default_factory=dict)
     subset_to_domain: dict[str, str] = field(default_factory=dict)
     default_coarse_domain: str = "web"
+    #: module:function of a sentence splitter; by default sentences are split by rule.
+    sentence_splitter: str | None = None
     output_layout: str = "mixed"
     dedup_normalize_text: bool = True
     skip_ai: bool = False

@@ -98,6 +98,9 @@ def setting(cfg: dict[str, Any], key: str, env: str, default: str = "") -> str:
     return str(cfg.get(key) or os.environ.get(env) or default).strip()
 
 
+AZURE = ("AZURE_OPENAI_ENDPOINT", "AZURE_OPENAI_DEPLOYMENT_NAME", "AZURE_OPENAI_API_VERSION")
+
+
 def azure_url(cfg: dict[str, Any]) -> str:
     """Address of a chat deployment; "" where a part is missing."""
     end, name = setting(cfg, "azure_endpoint", "AZURE_OPENAI_ENDPOINT").rstrip("/"), setting(cfg, "azure_deployment", "AZURE_OPENAI_DEPLOYMENT_NAME")
@@ -179,6 +182,9 @@ class Router:
 
     def __init__(self, pool: list[Entry], model_cfg: dict[str, Any] | None = None, hosts: list[str] | None = None, transport: Transport = http):
         self.pool, self.cfg, self.hosts, self.transport = pool, model_cfg or {}, hosts or [], transport
+        shared = self.cfg.get("openai") or {}
+        names = {*AZURE, *(str(remote_config(shared, e).get("api_key_env") or "OPENAI_API_KEY") for e in pool if e.provider == "openai")}
+        self.settings = {n: os.environ[n] for n in names if n in os.environ}  # executors don't have the driver's environment
         self.clients: dict[Any, Provider] = {}
 
     def client(self, provider: str, model: str) -> Provider:
@@ -186,6 +192,8 @@ class Router:
         cfg = remote_config(self.cfg.get("openai"), entry)
         key = ("local",) if provider == "ollama" else (cfg.get("base_url"), cfg.get("api_key_env"), cfg.get("use_azure"))
         if key not in self.clients:
+            for name, value in self.settings.items():
+                os.environ.setdefault(name, value)
             self.clients[key] = LocalServer(self.hosts, transport=self.transport) if provider == "ollama" else ChatServer(cfg, self.transport)
         return self.clients[key]
 

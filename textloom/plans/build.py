@@ -12,13 +12,13 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textloom.config import BUCKETS, BuildConfig
 from textloom.functions.hashing import digest, uniform
 from textloom.functions.noise import augment
-from textloom.functions.text import clean_text, combine, is_text_model, join_span, mixed_final, normalized_hash, split_sentences, text_hash, word_count
+from textloom.functions.text import clean_text, combine, is_text_model, join_span, mixed_final, normalized_hash, split_sentences, splitter, text_hash, word_count
 from textloom.operators import dedup, generation, ranking, sampling
 from textloom.operators.filters import is_garbage, not_empty, quality_reason
 from textloom.operators.pools import Entry
@@ -37,7 +37,7 @@ OFFLINE = [Entry("offline", "offline-text", 1.0)]
 def prepare(docs: DataFrame, cfg: BuildConfig, normalise: bool = True) -> DataFrame:
     """Documents worth sampling (text, doc_id, subset, domain, seq) with sents, split and stress_mode."""
     key = F.col("doc_id")
-    df = docs.withColumn("__clean", clean_text(F.col("text"), normalise)).withColumn("sents", split_sentences(F.col("__clean")))
+    df = docs.withColumn("__clean", clean_text(F.col("text"), normalise)).withColumn("sents", (splitter(cfg.sentence_splitter) if cfg.sentence_splitter else split_sentences)(F.col("__clean")))
     df = df.withColumn("__garbage", is_garbage(F.col("sents")))
     df = keep(df, ~F.col("__garbage"))
     df = df.withColumn("split", sampling.assign_split(cfg.random_seed, key, cfg.split_ratios, cfg.stress_fraction))
@@ -58,6 +58,7 @@ class Feed:
             if last or cfg.max_documents_scan <= 0:
                 self.docs = self.docs.where(F.col("seq") <= (last[0].seq if last else ""))
         self.at, self.end, self.size, self.rows, self.block = "", "", 0, None, None
+        self.settled, self.watch = 0, []
 
     def done(self) -> bool:
         return self.at == LAST
@@ -65,13 +66,14 @@ class Feed:
     def take(self, size: int | None = None) -> DataFrame:
         """About the next size documents; all that are left where size is None."""
         if size is None:
-            rest = prepare(self.docs.where(F.col("seq") > self.at), self.cfg)
+            rest = prepare(self._watched(self.docs.where(F.col("seq") > self.at)), self.cfg)
             self.at = self.end = LAST
-            return rest
+            return self._watched(rest)
         if self.rows is None:
             self.rows = max(1, self.docs.select("seq").count())
         if self.at >= self.end:
             self.size = max(4 * size, 2 * self.size)
+            self.settled += 0 if self.block is None else self.block.count()
             self.end = self._after(self.at, self.size)
             self.block = cut(prepare(self.docs.where((F.col("seq") > self.at) & (F.col("seq") <= self.end)), self.cfg))
         upto = min(self.end, self._after(self.at, size))
@@ -79,6 +81,18 @@ class Feed:
         self.at = upto
         return part
 
+    def _watched(self, df: DataFrame) -> DataFrame:
+        """df, whose rows are counted when it is first computed."""
+        self.watch.append(seen := Observation())
+        return df.observe(seen, F.count(F.lit(1)).alias("n"))
+
+    def counts(self) -> tuple[int, int]:
+        """Documents read so far, and those of them that were worth sampling (so that they have a split)."""
+        if self.block is None:
+            return tuple(sum(w.get["n"] for w in self.watch[k::2]) for k in (0, 1))
+        upto = F.col("seq") <= self.at
+        return self.docs.where(upto).count(), self.block.where(upto).count() + self.settled
+
     def _after(self, at: str, size: int) -> str:
         place = int((at[:13] or "0").ljust(13, "0"), 16) + max(1, size * 16**13 // self.rows)
         return f"{place:013x}" if place < 16**13 else LAST
@@ -194,9 +208,10 @@ def record(kind: str, cfg: BuildConfig) -> Column:
 
 @dataclass
 class Report:
-    """What a build did: documents read in parts, requests to providers, rows by kind and by domain."""
+    """What a build did: documents read, those that got a split, parts, requests to providers, rows by kind and by domain."""
 
     documents: int = 0
+    split_documents: int = 0
     parts: int = 0
     requests: int = 0
     rows: Counter = field(default_factory=Counter)
@@ -285,6 +300,7 @@ def build_pairs(docs: DataFrame, cfg: BuildConfig, train: list[Entry] = OFFLINE,
             rows = cut(rows.join(asked.select("seq"), "seq", "left_anti").join(good.select("h"), "h", "left_anti"))
             if rows.isEmpty():
                 break
+    report.documents, report.split_documents = feed.counts() if made else (0, 0)
     if not made:
         part = add_human(prepare(feed.docs.where("false"), cfg), cfg)
         full = part if cfg.skip_ai else add_machine(part, cfg, list(train), list(stress), provider)
@@ -398,6 +414,7 @@ def build_quotas(docs: DataFrame, cfg: BuildConfig, train: list[Entry] = OFFLINE
         left = {b: left[b] - report.rows[b] + before[b] for b in BUCKETS}
         open_now = [b for b in open_now if left[b] > 0]
         assert feed.at > began
+    report.documents, report.split_documents = feed.counts() if made else (0, 0)
     if not made:
         empty = prepare(feed.docs.where("false"), cfg).withColumn("bucket", F.lit("human"))
         found = _of_bucket(empty, "human", cfg, *pools)

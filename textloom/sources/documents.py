@@ -10,7 +10,7 @@ from typing import Any, TypeVar
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.functions.hashing import digest
+from textloom.functions.hashing import digest, draw
 from textloom.operators.filters import not_empty
 
 T = TypeVar("T")
@@ -81,19 +81,23 @@ def coarse_domain(subset: Column, mapping: dict[str, str], default: str = "web")
 
 
 def as_documents(rows: DataFrame, *, text_field: str = "text", meta_field: str = "meta", id_field: str = "id", id_prefix: str = "doc", mapping: dict[str, str] | None = None, default_domain: str = "web") -> DataFrame:
-    """(text, doc_id, subset, domain) of rows with a text; rows without an id get a number of their partition and place (in a stream a hash of the text)."""
+    """(text, doc_id, subset, domain) of rows with a text; rows without an id are named by a hash of their text, so their splits and draws don't depend on files or partitions."""
     kinds = dict(rows.dtypes)
     texts = [F.nullif(F.col(c).cast("string"), F.lit("")) for c in dict.fromkeys((text_field, "text")) if c in kinds]
     text = F.coalesce(*texts) if texts else F.lit(None).cast("string")
-    # a stream has no row numbers: there the text names itself
-    own = F.substring(F.sha2(text, 256), 1, 16) if rows.isStreaming else F.monotonically_increasing_id().cast("string")
-    number = F.concat(F.lit(f"{id_prefix}_"), own)
+    number = F.concat(F.lit(f"{id_prefix}_"), F.substring(F.sha2(text, 256), 1, 16))
     doc_id = F.coalesce(F.col(id_field).cast("string"), number) if id_field in kinds else number
     subset = subset_name(parse_meta(F.col(meta_field), kinds[meta_field])) if meta_field in kinds else F.lit(None).cast("string")
     out = rows.select(text.alias("text"), doc_id.alias("doc_id"), subset.alias("subset"))
     return out.where(not_empty(F.col("text"))).withColumn("domain", coarse_domain(F.col("subset"), mapping or {}, default_domain))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or pattern names a file, by Spark's own file system layer."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target))
+
+
 JSON_SCHEMA = "text string, meta string, id string"
 
 
@@ -102,6 +106,8 @@ def read_jsonl(spark: SparkSession, path: str, *, strict: bool = False, schema:
     if not path:
         raise ValueError("a local source needs a path")
     fields = schema or ", ".join(dict.fromkeys([f"`{options.get('text_field', 'text')}` string", "`text` string", f"`{options.get('meta_field', 'meta')}` string", f"`{options.get('id_field', 'id')}` string"]))
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no input at {path}")
     rows = spark.read.schema(fields).json(path, mode="FAILFAST" if strict else "DROPMALFORMED")
     return as_documents(rows, **options)
 
@@ -134,4 +140,4 @@ def sharded(docs: DataFrame, shards: int, index: int) -> DataFrame:
     """One of shards disjoint parts that together are all; a function of the id, so no position is counted."""
     if shards < 1 or not 0 <= index < shards:
         raise ValueError(f"shard {index} of {shards}")
-    return docs if shards == 1 else docs.where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(shards)) == index)
+    return docs if shards == 1 else docs.where(draw("shards", F.col("doc_id"), str(shards)) % shards == index)

@@ -12,6 +12,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.operators.ranking import with_ids
+
 
 class Locked(RuntimeError):
     """Another run writes to the folder."""
@@ -37,6 +39,16 @@ def write_jsonl(records: DataFrame, folder: str, layout: str = "mixed", append:
     out.write.partitionBy(*columns).mode("append" if append else "overwrite").json(folder, ignoreNullFields=False)
 
 
+def merge_outputs(parts: list[DataFrame], prefix: str) -> DataFrame:
+    """The records of several outputs (of disjoint shards) as one, with new dense ids: by split, in an order of hashes of part and old id."""
+    named = [p.withColumn("__part", F.lit(k)) for k, p in enumerate(parts)]
+    rows = named[0]
+    for p in named[1:]:
+        rows = rows.unionByName(p, allowMissingColumns=True)
+    rows = rows.withColumns({"__split": F.regexp_extract("id", r"^.*_([a-z]+)_\d+$", 1), "__order": F.sha2(F.concat_ws("|", "__part", "id"), 256)})
+    return with_ids(rows, "__split", "__order", prefix).drop("__part", "__split", "__order")
+
+
 def paths(folder: str, layout: str) -> list[str]:
     """All folders that a layout may have."""
     splits = [f"split={s}" for s in ("train", "val", "test", "stress")]

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from textloom.config import BuildConfig
-from textloom.plans.build import build_pairs
+from textloom.operators import summary
+from textloom.plans.build import Report, build_pairs
 from textloom.sources import sinks, state
 
 SCHEMA = "id string, base_text string, sample_kind string, split_name string, original_text_hash string"
@@ -25,11 +26,14 @@ def has_output(spark: SparkSession, folder: str) -> bool:
 
 def append_batch(docs: DataFrame, folder: str, cfg: BuildConfig, **more: object) -> None:
     """Builds docs and appends what is new to folder."""
-    spark = docs.sparkSession
+    spark, report = docs.sparkSession, Report()
     if has_output(spark, folder):
         earlier = state.read_output(spark, folder, strict=False, schema=SCHEMA)
         more |= {"earlier": earlier, "offsets": state.last_ids(earlier)}
-    sinks.write_jsonl(build_pairs(docs, cfg, **more), folder, cfg.output_layout, append=True)
+    sinks.write_jsonl(build_pairs(docs, cfg, report=report, **more), folder, cfg.output_layout, append=True)
+    if "://" not in folder:  # counts after each batch, from what is written
+        counts = {r.sample_kind: r.n for r in summary.bucket_counts(state.read_output(spark, folder, strict=False, schema=SCHEMA)).collect()}
+        sinks.save_counts(f"{folder}/_counts.json", counts, cfg.sample_targets)
 
 
 def stream_build(docs: DataFrame, folder: str, checkpoint: str, cfg: BuildConfig, **more: object) -> DataStreamWriter:
