@@ -18,6 +18,8 @@ SPACE = " \t\n\x0b\x0c\r"
 HOT_KEYS, HOT_ROWS = 256, 1000
 #: Narrow rows up to which a table of keys is broadcast.
 BROADCAST_KEYS = 300_000
+#: Comparisons of tiles' items that a task is dealt.
+PART_COMPARISONS = 5e8
 
 
 def hot_join(rows: DataFrame, small: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:
@@ -49,13 +51,14 @@ def tile_pairs(items: DataFrame, keys: list[str], tile: Column, steps: Iterable[
     dealt = dealt.withColumn("sub", F.pmod(F.xxhash64("item.id"), F.coalesce("__subs", F.lit(1))).cast("int"))
     tiles = cut(dealt.groupBy(*keys, "sub").agg(F.collect_list("item").alias("items")))
     own = tiles.select((F.monotonically_increasing_id() * 2).alias("pair"), F.lit(True).alias("same"), F.col("items").alias("lefts"), F.slice("items", 1, 0).alias("rights"), *keys)
-    names = tiles.select(*keys, "sub")
-    other = names.select(*keys[:-1], F.explode(F.array(*[F.col(last) - s for s in steps])).alias(last), F.col(last).alias("__last"), F.col("sub").alias("__sub"))
+    names = tiles.select(*keys, "sub", F.size("items").alias("__size"))
+    other = names.select(*keys[:-1], F.explode(F.array(*[F.col(last) - s for s in steps])).alias(last), F.col(last).alias("__last"), F.col("sub").alias("__sub"), F.col("__size").alias("__size2"))
     pairs = names.join(other, keys).where((F.col(last) != F.col("__last")) | (F.col("sub") < F.col("__sub")))
     pairs = cut(pairs.withColumn("pair", F.monotonically_increasing_id() * 2 + 1))
     right = tiles.select(*keys[:-1], F.col(last).alias("__last"), F.col("sub").alias("__sub"), F.col("items").alias("rights"))
     both = pairs.join(tiles.withColumnRenamed("items", "lefts"), [*keys, "sub"]).join(right, [*keys[:-1], "__last", "__sub"])
-    parts = max(items.sparkSession.sparkContext.defaultParallelism, min(20_000, pairs.count() // 8))
+    work = pairs.agg(F.sum(F.col("__size") * F.col("__size2").cast("double"))).first()[0] or 0
+    parts = max(items.sparkSession.sparkContext.defaultParallelism, min(20_000, int(work / PART_COMPARISONS)))
     return own.unionAll(both.select("pair", F.lit(False).alias("same"), "lefts", "rights", *keys).repartition(parts, "pair"))
 
 

@@ -269,7 +269,7 @@ def links(keys: DataFrame, docs: DataFrame, radius: int = RADIUS, tile: int = TI
     texts = docs.select(row_key().alias("pick"), F.col("text").cast("string")).join(wanted, "pick").select("set_id", *FP, "text")
     kinds = ", ".join(f"{f} long" for f in FP)
     of = cut(texts.mapInArrow(sets, f"id long, {kinds}, shingles array<long>").dropDuplicates(["id"]))
-    parts = max(docs.sparkSession.sparkContext.defaultParallelism, min(20_000, found.select("pair").distinct().count() // 4))
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, min(20_000, found.select("pair").distinct().count() // 32))
     both = found.join(of, "id").repartition(parts, "pair").sortWithinPartitions("pair")
     return both.select("pair", "side", "id", *FP, "shingles").mapInArrow(run, "a long, b long")
 
