@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 
 sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
-os.environ["PYTHONPATH"] = os.pathsep.join([str(Path(__file__).resolve().parents[1]), *filter(None, [os.environ.get("PYTHONPATH")])])
+os.environ["PYTHONPATH"] = os.pathsep.join([str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent), *filter(None, [os.environ.get("PYTHONPATH")])])
 
 
 @pytest.fixture(scope="session")

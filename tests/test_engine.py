@@ -202,3 +202,143 @@ def test_write_append_and_state(spark, tmp_path):
     assert s.num_human == s.num_ai and s.label_balance_ai_share == 0.5 and s.domains == {"web": 1.0}
     with sinks.output_lock(tmp_path / "l"):
         pass
+
+
+def test_requests_are_few_more_than_pairs(spark):
+    from dataclasses import replace
+
+    report = build.Report()
+    rows = build.build_pairs(corpus(spark, 600), replace(CFG, num_pairs=5), report=report).collect()
+    assert len(rows) == 10 and report.rows == {"human": 5, "direct_ai": 5}
+    assert report.requests <= 40 and report.documents <= 60
+    report = build.Report()
+    targets = {"human": 60, "direct_ai": 1, "hard_ai": 1, "mixed": 1}
+    rows = build.build_quotas(corpus(spark, 600), replace(CFG, sample_targets=targets), report=report).collect()
+    assert report.rows == targets and len(rows) == 63 and report.requests <= 60
+
+
+def test_quota_mode_equals_the_sequential_loop(spark):
+    """Against a loop over all documents in order: the turn's bucket, new texts only, targets less what is written, refilled after duplicates."""
+    from dataclasses import replace
+
+    cfg = replace(CFG, sample_targets={"human": 14, "direct_ai": 9, "hard_ai": 6, "mixed": 12}, dedup_normalize_text=False, augment=build.BuildConfig().augment.__class__(1.0, 0.0, 1.0, 0.0))
+    docs = corpus(spark, 60)
+    docs = docs.unionAll(docs.where("doc_id % 3 = 0").withColumn("doc_id", F.concat(F.lit("copy"), "doc_id")))
+    done = {"human": 4, "direct_ai": 9}
+    got = build.build_quotas(docs, cfg, counts=done).collect()
+    part = build.prepare(build.Feed(docs, cfg).docs, cfg).withColumn("buckets", build.sampling.bucket_order(cfg.random_seed, F.col("doc_id")))
+    made = {b: {r.seq: r for r in build._of_bucket(part.withColumn("bucket", F.lit(b)), b, cfg, build.OFFLINE, [], build.OFFLINE, None).collect()} for b in BUCKETS}
+    left, seen, want = {b: cfg.sample_targets[b] - done.get(b, 0) for b in BUCKETS}, set(), []
+    for r in sorted(part.select("seq", "buckets").collect()):
+        bucket = next((b for b in r.buckets if left[b] > 0), None)
+        m = made[bucket].get(r.seq) if bucket else None
+        if m and m.ok and m.hash not in seen:
+            seen.add(m.hash)
+            left[bucket] -= 1
+            want.append((m.r.source_doc_id, bucket))
+    assert sorted((r.source_doc_id, r.sample_kind) for r in got) == sorted(want) and not any(left.values())
+    assert len({r.original_text_hash for r in got}) == len(got) == len({r.id for r in got})
+
+
+def test_a_copy_is_asked_for_where_the_first_fails(spark):
+    rows = [(" ".join(SENTENCES), str(i), "s", "web") for i in range(12)]
+    docs = spark.createDataFrame(rows, "text string, doc_id string, subset string, domain string")
+    got = build.build_pairs(docs, CFG).collect()
+    assert {r.sample_kind for r in got} == {"human", "direct_ai"}
+    texts = [r.original_text_hash for r in got]
+    assert len(texts) == len(set(texts))
+
+
+def test_domains_are_balanced_in_both_modes(spark):
+    from dataclasses import replace
+
+    rows = [(f"{r.text} Number {r.doc_id} is here.", r.doc_id, "s", "web" if int(r.doc_id) % 10 else "books") for r in corpus(spark, 500).collect()]
+    docs = spark.createDataFrame(rows, "text string, doc_id string, subset string, domain string")
+    cfg = replace(CFG, domain_quotas={"web": 0.5, "books": 0.5})
+    plain = build.build_pairs(docs, replace(cfg, skip_ai=True, num_pairs=90, domain_quotas={}))
+    held = build.build_pairs(docs, replace(cfg, skip_ai=True, num_pairs=90))
+    quota = build.build_quotas(docs, replace(cfg, sample_targets={"human": 90, "direct_ai": 0, "hard_ai": 0, "mixed": 0}))
+    share = lambda df: (lambda c: c["books"] / sum(c.values()))({r[0]: r[1] for r in df.groupBy("domain").count().collect()})
+    assert share(plain) < 0.18 and min(share(held), share(quota)) > 0.19
+    assert held.count() == quota.count() == 90
+
+
+def test_preflight_and_configuration_errors(spark, monkeypatch, tmp_path):
+    from textloom.config import load_env
+
+    monkeypatch.delenv("NO_SUCH_KEY", raising=False)
+    entry = pools.Entry("openai", "m", 1.0, None, "NO_SUCH_KEY")
+    with pytest.raises(ValueError, match="credentials"):
+        pools.assert_configured([[entry]], {}, ready=generation.is_ready, reach=lambda: None)
+    with pytest.raises(generation.Unreachable):
+        pools.assert_configured([[pools.Entry("ollama", "m")]], {}, ready=generation.is_ready, reach=lambda: generation.assert_reachable(["http://h"], transport=lambda *a: Reply(500, "", {})))
+    with pytest.raises(Exception, match="NO_SUCH_KEY is not set"):
+        build.build_pairs(corpus(spark, 5), CFG, train=[entry], provider=generation.Router([entry])).count()
+    (tmp_path / ".env").write_text("# keys\nexport A_KEY_X='a b'\nNO_SUCH_KEY=1 # note\nbroken line\n")
+    monkeypatch.setenv("A_KEY_X", "kept")
+    assert load_env(tmp_path / ".env") == {"A_KEY_X": "kept", "NO_SUCH_KEY": "1"} and load_env(tmp_path / "none") == {}
+    assert generation.Router([entry]).settings["NO_SUCH_KEY"] == "1"
+
+
+def test_ids_without_an_id_field_do_not_depend_on_partitions(spark):
+    rows = spark.createDataFrame([(f"text {i}",) for i in range(20)], "text string")
+    ids = [{(r.text, r.doc_id) for r in documents.as_documents(rows.repartition(n)).collect()} for n in (1, 7)]
+    assert ids[0] == ids[1] and len({i for _, i in ids[0]}) == 20
+    with pytest.raises(FileNotFoundError):
+        documents.read_jsonl(spark, "/no/such/file.jsonl")
+
+
+def test_shards_go_on_after_broken_connections(spark, tmp_path):
+    import gzip
+
+    from textloom.sources import shards
+
+    (tmp_path / "a.jsonl").write_text("".join(f'{{"text": "row {i}"}}\n' for i in range(50)))
+    (tmp_path / "b.jsonl.gz").write_bytes(gzip.compress(b'{"text": "packed"}\n'))
+    failures = []
+
+    class Broken:
+        def __init__(self, f):
+            self.f = f
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            self.f.close()
+
+        def __iter__(self):
+            for k, line in enumerate(self.f):
+                if k == 10 * (len(failures) + 1) and len(failures) < 3:
+                    failures.append(k)
+                    raise OSError("connection reset by peer")
+                yield line
+
+    waits = []
+    got = list(shards.lines_of(str(tmp_path / "a.jsonl"), lambda u: Broken(open(u, "rb")), 2, 1.0, 4.0, waits.append))
+    assert len(got) == 50 == len(set(got)) and len(failures) == 3 == len(waits)
+    with pytest.raises(PermissionError):
+        list(shards.lines_of("x", lambda u: (_ for _ in ()).throw(PermissionError("no")), 2, 1.0, 4.0, waits.append))
+    rows = shards.read_shards(spark, [f"file://{tmp_path}/a.jsonl", f"file://{tmp_path}/b.jsonl.gz"])
+    docs = documents.as_documents(rows.select(F.from_json("value", "text string").alias("v"), "shard").select("v.text"))
+    assert {r.text for r in docs.collect()} == {f"row {i}" for i in range(50)} | {"packed"}
+
+
+def test_another_sentence_splitter(spark):
+    from dataclasses import replace
+
+    from textloom.functions import text
+
+    df = spark.createDataFrame([("a|b| |c",), (None,), ("",)], "t string")
+    assert [r[0] for r in df.select(text.splitter("test_texts:bars")(F.col("t"))).collect()] == [["a", "b", "c"], [], []]
+    with pytest.raises(ValueError):
+        text.splitter("test_texts:nothing")
+    with pytest.raises(ValueError):
+        text.splitter("str")
+    assert build.build_pairs(corpus(spark, 10), replace(CFG, skip_ai=True, sentence_splitter="test_texts:by_dots")).count() > 0
+
+
+def test_merged_outputs_have_dense_ids(spark):
+    make = lambda n, s: spark.createDataFrame([(f"row_{s}_{i:06d}", f"{n}{i}") for i in range(1, n + 1)], "id string, base_text string")
+    got = sinks.merge_outputs([make(5, "train"), make(3, "train"), make(2, "val")], "all").collect()
+    assert {r.id for r in got} == {f"all_train_{i:06d}" for i in range(1, 9)} | {"all_val_000001", "all_val_000002"} and len({r.base_text for r in got}) == 10

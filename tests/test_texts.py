@@ -9,3 +9,11 @@ def sentences_of(i):
 
 def test_texts_differ():
     assert len({sentences_of(i) for i in range(50)}) == 50
+
+
+def bars(text):
+    return text.split("|")
+
+
+def by_dots(text):
+    return [f"{s.strip()}." for s in text.split(".") if s.strip()]
