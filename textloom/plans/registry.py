@@ -90,11 +90,11 @@ def _randint(purpose: str, low: str, high: str) -> str:
     return f"(({low}) + {sql_draw(SEED, 'doc_id', purpose)} % (({high}) - ({low}) + 1))"
 
 
-def _reason(cfg: QualityConfig) -> str:
-    return rf"""case when t = '' then 'empty' when len({_words("t")}) < {cfg.word_count_min} then 'too_short' when len({_words("t")}) > {cfg.word_count_max} then 'too_long'
+def _reason(cfg: QualityConfig, longest: str | None = None, last: str = "") -> str:
+    return rf"""case when t = '' then 'empty' when len({_words("t")}) < {cfg.word_count_min} then 'too_short' when len({_words("t")}) > {longest or cfg.word_count_max} then 'too_long'
   when len({_sents("t")}) < {cfg.min_sentences} then 'too_few_sentences' when {_NON_ALNUM} > {cfg.max_non_alnum_ratio}::double then 'too_many_symbols'
   when {_REPEAT} > {cfg.max_line_repetition}::double then 'repetitive' when {_BULLET} > {cfg.list_heavy_max_ratio}::double then 'list_heavy'
-  when regexp_matches(({_LINES})[1], '(?i)^(sure[,! ]|here is|here''s|as an ai|i''m an ai|i cannot|#+ |\*\s)') then 'assistant_boilerplate' else 'ok' end"""
+  when regexp_matches(({_LINES})[1], '(?i)^(sure[,! ]|here is|here''s|as an ai|i''m an ai|i cannot|#+ |\*\s)') then 'assistant_boilerplate' {last} else 'ok' end"""
 
 
 _SPLIT = f"case when {_u('stress')} < 0.05 then 'stress' when {_u('split')} < 0.8 then 'train' when {_u('split')} < {0.8 + 0.1!r}::double then 'val' else 'test' end"
@@ -170,7 +170,7 @@ def shuffled_documents(spark: SparkSession, folder: str) -> DataFrame:
     return sources.shuffled(_docs(spark, folder), SEED).select("doc_id", "seq")
 
 
-@query()
+@query(f"with {_D} select doc_id, ({sql_draw('shards', 'doc_id', '3')} % 3)::int as shard from d")
 def sharded_documents(spark: SparkSession, folder: str) -> DataFrame:
     parts = [sources.sharded(_docs(spark, folder), 3, i).select("doc_id", F.lit(i).alias("shard")) for i in range(3)]
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
@@ -271,7 +271,25 @@ def quota_rows(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.first_rows(docs, ["bucket"], "seq", 40).select("doc_id", "bucket")
 
 
-@query()
+def _fill(source: str, targets: dict[str, int], ok: str, hash_: str = "null") -> str:
+    """SQL of the sequential loop: source (doc_id, seq, buckets and what ok and hash_ need, by bucket b) in order of seq, a row at a time."""
+    left = ", ".join(f"{n} as left_{b}" for b, n in targets.items())
+    is_open = " or ".join(f"(x = '{b}' and left_{b} > 0)" for b in BUCKETS)
+    take = ", ".join(f"left_{b} - (case when acc and b = '{b}' then 1 else 0 end)" for b in BUCKETS)
+    return f"""o as materialized (select *, row_number() over (order by seq) as n from {source}),
+loop as (select 0::bigint as n, {left}, []::varchar[] as seen, null::varchar as bucket
+  union all select n, {take}, case when acc and name is not null then list_append(seen, name) else seen end, case when acc then b end
+  from (select *, b is not null and coalesce(good, false) and (name is null or not list_contains(seen, name)) as acc
+    from (select *, {ok} as good, ({hash_})::varchar as name
+      from (select o.*, loop.* exclude (n, bucket), list_filter(o.buckets, lambda x: {is_open})[1] as b from loop join o on o.n = loop.n + 1)))),
+taken as (select o.doc_id, o.seq, loop.bucket from loop join o using (n) where loop.bucket is not null)"""
+
+
+_BY_BUCKET = lambda f: "case b " + " ".join(f"when '{b}' then {f(b)}" for b in BUCKETS) + " end"
+_DRAWN = ", ".join(f"{sql_draw(SEED, 'doc_id', 'ok:' + b)} % 3 > 0 as ok_{b}" for b in BUCKETS)
+
+
+@query(f"with recursive {_D}, x as (select doc_id, {sql_digest(SEED, 'doc_id', 'seq')} as seq, {_ORDER} as buckets, {_DRAWN} from d), {_fill('x', {'human': 60, 'direct_ai': 30, 'hard_ai': 20, 'mixed': 10}, _BY_BUCKET(lambda b: f'ok_{b}'))} select doc_id, bucket from taken")
 def quota_assignment(spark: SparkSession, folder: str) -> DataFrame:
     docs = sources.shuffled(_docs(spark, folder), SEED).withColumns({"buckets": sampling.bucket_order(SEED, F.col("doc_id")), "ok": F.create_map(*[x for b in BUCKETS for x in (F.lit(b), draw(SEED, F.col("doc_id"), f"ok:{b}") % 3 > 0)])})
     return build.assign_quotas(docs, {"human": 60, "direct_ai": 30, "hard_ai": 20, "mixed": 10}).select("doc_id", "bucket")
@@ -295,13 +313,6 @@ def normalized_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.drop_duplicates(sources.shuffled(_docs(spark, folder), SEED), "text", "seq").select("doc_id")
 
 
-@query(f"with {_D} select doc_id from d where doc_id % 2 = 1 and {_NORM} not in (select {_NORM} from d where doc_id % 2 = 0)")
-def not_yet_written(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _docs(spark, folder)
-    earlier = docs.where("doc_id % 2 = 0").select(F.col("text").alias("base_text"))
-    return dedup.not_written(docs.where("doc_id % 2 = 1"), earlier, "text").select("doc_id")
-
-
 _IDS = f"with {_D}, x as (select doc_id, {_SPLIT} as split, {sql_digest(SEED, 'doc_id', 'seq')} as seq from d), n as (select *, row_number() over (partition by split order by seq) + case split when 'val' then 100 else 0 end as rn from x)"
 
 
@@ -339,6 +350,68 @@ def human_dataset(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("id", "label", "label_int", "source_doc_id", "domain", "base_text", "original_text_hash", "num_sentences", "num_words", F.get("span_sentence_indices", F.lit(0)).alias("i0"), F.get("span_sentence_indices", F.lit(1)).alias("i1"), "split")
 
 
+@query(f"with {_HUMAN} select doc_id from b where {_NORM.replace('text', 't')} not in (select {_NORM.replace('text', 't')} from n)")
+def not_yet_written(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents whose human span the human-only plan did not write."""
+    earlier = build.build_pairs(_corpus(spark, folder), PLAIN)
+    spans = build.add_human(build.prepare(build.Feed(_corpus(spark, folder), PLAIN).docs, PLAIN), PLAIN)
+    return dedup.not_written(spans, earlier, "h_base").select(F.col("doc_id").cast("long").alias("doc_id"))
+
+
+def _trimmed(t: str) -> str:
+    head = rf"""regexp_extract({_strip(t)}, '(?s)^(.*[.!?][''"]?)(\s|$)', 1)"""
+    return f"(case when {head} = '' then {_strip(t)} else {_strip(head)} end)"
+
+
+def _without_lead(t: str) -> str:
+    lines = f"string_split({t}, chr(10))"
+    at = rf"list_position(list_transform({lines}, lambda x: not regexp_matches({_strip('x')}, '(?i)^(sure[,! ]|here is|here''s|okay[,! ]|as an ai|i cannot|i''m an ai)')), true)"
+    return f"(case when coalesce({at}, 0) > 0 then {_strip(f'array_to_string(({lines})[{at}:], chr(10))')} else '' end)"
+
+
+def _overlap(t: str, prefix: str) -> str:
+    return f"(case when len({_words(f'lower({t})')}) = 0 then 1.0 else 1 - len(list_filter({_words(f'lower({t})')}, lambda w: not list_contains({_words(f'lower({prefix})')}, w)))::double / len({_words(f'lower({t})')}) end)"
+
+
+_SHORT = {"human": "h", "direct_ai": "a", "hard_ai": "r", "mixed": "m"}
+_NORM_OF = lambda t: _NORM.replace("text", t)
+_TIGHT = """list_contains([' ', chr(10), chr(9), '.', ',', ';', ':', '!', '?', '''', '"', ')', '}', ']'], body[1])"""
+_LAST = f"when kind = 'a' and prefix <> '' and {_overlap('t', 'prefix')} > {QUALITY.ai_prefix_overlap_max}::double then 'ai_too_similar_to_prefix'"
+#: The texts of all four kinds of each document worth sampling, with the first rule that each breaks; offline provider, no noise.
+_KINDS = f"""{_S}, g as (select *, array_to_string(sents, ' ') as j from s), k as (select * from g where not {_GARBAGE}),
+p as (select *, {_SPAN_LEN} as size, {_PREFIX_LEN} as pre from k), q as (select *, {_randint('span:start', '0', 'greatest(len(sents) - size, 0)')} as i0 from p),
+w0 as (select doc_id, source, {_SPLIT} as split, {sql_digest(SEED, 'doc_id', 'seq')} as seq, {_ORDER} as buckets, array_to_string(sents[i0 + 1:i0 + size], ' ') as h,
+  array_to_string(sents[1:pre::bigint], ' ') as prompt, array_to_string(list_reverse(sents[(pre + 1)::bigint:(pre + 3)::bigint]), ' ') as completion from q),
+w1 as (select *, {_without_lead('cut')} as body from (select *, {_trimmed('completion')} as cut from w0)),
+w2 as (select *, case when body = '' then prompt when prompt = '' or {_TIGHT} then prompt || body else prompt || ' ' || body end as a from w1),
+w3 as (select *, {_sents('a')} as asents from w2),
+w4 as (select *, {_without_lead('cut2')} as r from (select *, {_trimmed("array_to_string(list_concat(asents[2:], asents[1:1]), ' ')")} as cut2 from w3)),
+w5 as (select *, h || chr(10) || chr(10) || a as m, {_strip('h')} || chr(10) || chr(10) || {_strip('a')} as m_final from w4),
+long as (select doc_id, 'h' as kind, {_strip('h')} as t, null as prefix, 1000000 as n from w5 union all select doc_id, 'a', {_strip('a')}, prompt, len({_words('a')}) from w5
+  union all select doc_id, 'r', {_strip('r')}, null, len({_words('r')}) from w5 union all select doc_id, 'm', {_strip('m_final')}, null, 1000000 from w5),
+reasons as (select doc_id, kind, case when n < {QUALITY.word_count_min} then 'too_short' else {_reason(QUALITY, "(case kind when 'm' then 520 else 420 end)", _LAST)} end as reason from long),
+ok as (select doc_id, max(reason) filter (kind = 'h') as h_reason, max(reason) filter (kind = 'a') as a_reason, max(reason) filter (kind = 'r') as r_reason, max(reason) filter (kind = 'm') as m_reason from reasons group by doc_id),
+v as materialized (select *, h_reason = 'ok' as ok_human, prompt <> '' and a_reason = 'ok' as ok_direct_ai, prompt <> '' and a_reason <> 'too_short' and r_reason = 'ok' as ok_hard_ai, h_reason = 'ok' and prompt <> '' and a_reason = 'ok' and m_reason = 'ok' as ok_mixed from w5 join ok using (doc_id))"""
+
+
+def _record_sql(kind: str, number: str) -> str:
+    """SQL of the records of the rows of n."""
+    base, final = {"human": ("h", "h"), "direct_ai": ("a", "a"), "hard_ai": ("r", "r"), "mixed": ("m", "m_final")}[kind]
+    prompt = "null" if kind == "human" else "prompt"
+    return f"select 'row_' || split || '_' || lpad(({number})::varchar, 6, '0') as id, '{'human' if kind == 'human' else 'ai'}' as label, '{kind}' as sample_kind, doc_id::varchar as source_doc_id, coalesce(case source {_CASES} end, 'web') as domain, {prompt} as prompt_text, {base} as base_text, {final} as final_text, len({_sents(final)})::int as num_sentences, len({_words(final)})::int as num_words, split, sha256({base}) as original_text_hash"
+
+
+_SHOWN = ("id", "label", "sample_kind", "source_doc_id", "domain", "prompt_text", "base_text", "final_text", "num_sentences", "num_words", "split", "original_text_hash")
+
+
+@query(f"""with {_KINDS}, f as (select * from v where ok_human and ok_direct_ai), c1 as (select *, row_number() over (partition by {_NORM_OF('h')} order by seq) as copy_h from f),
+c2 as (select *, row_number() over (partition by {_NORM_OF('a')} order by seq) as copy_a from c1 where copy_h = 1), n as (select *, row_number() over (partition by split order by seq) as rn from c2 where copy_a = 1)
+{_record_sql('human', '2 * rn - 1')} from n union all {_record_sql('direct_ai', '2 * rn')} from n""")
+def pair_dataset(spark: SparkSession, folder: str) -> DataFrame:
+    """Pair mode with the offline provider, without noise: human and machine rows."""
+    return build.build_pairs(_corpus(spark, folder), BuildConfig(quality=QUALITY, augment=PLAIN.augment, subset_to_domain=DOMAINS)).select(*_SHOWN)
+
+
 @query()
 def build_dataset(spark: SparkSession, folder: str) -> DataFrame:
     """Pair mode with noise and the offline provider: human and machine rows."""
@@ -346,11 +419,16 @@ def build_dataset(spark: SparkSession, folder: str) -> DataFrame:
     return build.build_pairs(_corpus(spark, folder), cfg)
 
 
-@query()
+_TARGETS = {"human": 60, "direct_ai": 40, "hard_ai": 30, "mixed": 20}
+
+
+@query(f"""with recursive {_KINDS}, {_fill("v", _TARGETS, _BY_BUCKET(lambda b: f"ok_{b}"), _BY_BUCKET(lambda b: _NORM_OF(_SHORT[b])))},
+n as (select v.*, taken.bucket, row_number() over (partition by v.split order by v.seq) as rn from taken join v using (doc_id))
+{" union all ".join(f"{_record_sql(b, 'rn')} from n where bucket = '{b}'" for b in BUCKETS)}""")
 def build_quota_dataset(spark: SparkSession, folder: str) -> DataFrame:
-    """Quota mode with all four kinds."""
-    cfg = BuildConfig(quality=QUALITY, sample_targets={"human": 60, "direct_ai": 40, "hard_ai": 30, "mixed": 20}, subset_to_domain=DOMAINS)
-    return build.build_quotas(_corpus(spark, folder), cfg)
+    """Quota mode with all four kinds, without noise."""
+    cfg = BuildConfig(quality=QUALITY, sample_targets=_TARGETS, augment=PLAIN.augment, subset_to_domain=DOMAINS)
+    return build.build_quotas(_corpus(spark, folder), cfg).select(*_SHOWN)
 
 
 @query()
@@ -367,7 +445,7 @@ def _records(spark: SparkSession, folder: str) -> DataFrame:
     return c.select(F.when(human, "human").otherwise("ai").alias("label"), F.when(human, "human").otherwise(F.when(F.col("turn") % 5 == 3, "mixed").otherwise("direct_ai")).alias("sample_kind"), F.col("role").alias("domain"), F.lit(None).cast("string").alias("generator_model"), F.col("role").alias("generator_provider"), F.col("text").alias("final_text"), F.when(F.col("turn") % 2 == 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")).alias("augmentation"), (F.col("conv_id") % 3).alias("part"), "conv_id", "turn")
 
 
-_REC = f"c as (select case when role = 'user' then 'human' else 'ai' end as label, case when role = 'user' then 'human' when turn % 5 = 3 then 'mixed' else 'direct_ai' end as kind, role, text, turn % 2 = 0 as noised, conv_id % 3 as part, len({_words('text')})::double as nw, len({_sents('text')})::double as ns from conversations where text is not null)"
+_REC = f"c as (select case when role = 'user' then 'human' else 'ai' end as label, case when role = 'user' then 'human' when turn % 5 = 3 then 'mixed' else 'direct_ai' end as kind, role, text, turn % 2 = 0 as noised, turn <= 1 as early, conv_id % 3 as part, len({_words('text')})::double as nw, len({_sents('text')})::double as ns from conversations where text is not null)"
 
 
 def _avg(c: str, label: str, d: int) -> str:
@@ -398,13 +476,14 @@ def bucket_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _metric(m: str, e: str) -> str:
-    return f"select '{m}' as metric, max(case part when 0 then v end) as a, max(case part when 1 then v end) as b from (select part, {e} as v from c where part < 2 group by part)"
+    return f"select '{m}' as metric, max(case part when 'a' then v end) as a, max(case part when 'b' then v end) as b from (select part, {e} as v from halves group by part)"
 
 
-@query(f"with {_REC}, m as ({' union all '.join(_metric(m, e) for m, e in (('avg_words_human', _avg('nw', 'human', 3)), ('avg_words_ai', _avg('nw', 'ai', 3)), ('avg_sentences_human', _avg('ns', 'human', 3)), ('avg_sentences_ai', _avg('ns', 'ai', 3)), ('label_balance_ai_share', "round(count(*) filter (label = 'ai') / count(*)::double, 4)")))}) select metric, a, b, round(a - b, 4) as diff from m")
+@query(f"with {_REC}, halves as (select * exclude (part), case when early then 'a' else 'b' end as part from c), m as ({' union all '.join(_metric(m, e) for m, e in (('avg_words_human', _avg('nw', 'human', 3)), ('avg_words_ai', _avg('nw', 'ai', 3)), ('avg_sentences_human', _avg('ns', 'human', 3)), ('avg_sentences_ai', _avg('ns', 'ai', 3)), ('label_balance_ai_share', "round(count(*) filter (label = 'ai') / count(*)::double, 4)")))}) select metric, a, b, round(a - b, 4) as diff from m")
 def compared_summaries(spark: SparkSession, folder: str) -> DataFrame:
-    s = summary.summarize(_records(spark, folder), ["part"])
-    return summary.compare(s.where("part = 0"), s.where("part = 1"))
+    """The first two turns of all conversations against all later ones."""
+    s = summary.summarize(_records(spark, folder).withColumn("part", F.when(F.col("turn") <= 1, "a").otherwise("b")), ["part"])
+    return summary.compare(s.where("part = 'a'"), s.where("part = 'b'"))
 
 
 @query("select kind as sample_kind, case when kind in ('human', 'mixed') then kind else 'ai' end as side, n from (select case when role = 'user' then 'human' when turn % 5 = 3 then 'mixed' else 'direct_ai' end as kind, count(*) as n from conversations where text is not null group by 1)")
