@@ -240,6 +240,15 @@ def test_quota_mode_equals_the_sequential_loop(spark):
     assert len({r.original_text_hash for r in got}) == len(got) == len({r.id for r in got})
 
 
+def test_repeated_documents_give_one_record(spark):
+    """Rows without an id that share a text share a name."""
+    rows = [r.text for r in corpus(spark, 8).collect()] * 3
+    docs = documents.as_documents(spark.createDataFrame([(t,) for t in rows], "text string").repartition(5))
+    report = build.Report()
+    got = build.build_pairs(docs, CFG, report=report).collect()
+    assert len({r.id for r in got}) == len(got) == 2 * len({r.source_doc_id for r in got}) and report.requests <= 8
+
+
 def test_a_copy_is_asked_for_where_the_first_fails(spark):
     rows = [(" ".join(SENTENCES), str(i), "s", "web") for i in range(12)]
     docs = spark.createDataFrame(rows, "text string, doc_id string, subset string, domain string")

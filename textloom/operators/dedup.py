@@ -9,10 +9,9 @@ from textloom.functions.text import normalized_hash, text_hash
 
 
 def first_of(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Of rows with one key the first in order stays; order is unique to a row. Meant for narrow rows: keys and orders are combined
-    before the shuffle, and each row is joined to the winners by its own order, so no key's rows are gathered."""
-    first = df.groupBy(key).agg(F.min(order).alias(order)).select(order)
-    return df.join(first, order, "left_semi")
+    """Of narrow rows with one key the first in order stays, by an aggregate that is combined before the shuffle: no key's rows are gathered."""
+    others = [c for c in df.columns if c not in (key, order)]
+    return df.groupBy(key).agg(F.min(F.struct(order, *others)).alias("__first")).select(key, "__first.*").select(df.columns)
 
 
 def drop_duplicates(df: DataFrame, text: str, order: str, normalise: bool = True) -> DataFrame:

@@ -284,7 +284,7 @@ def build_pairs(docs: DataFrame, cfg: BuildConfig, train: list[Entry] = OFFLINE,
             if cfg.skip_ai:
                 full, good = human, asked
             else:
-                full = cut(keep(add_machine(human.join(asked.select("seq"), "seq", "left_semi"), cfg, list(train), list(stress), provider), F.col("a_reason") == "ok"))
+                full = cut(keep(add_machine(human.join(asked.select("seq"), "seq", "left_semi").dropDuplicates(["seq"]), cfg, list(train), list(stress), provider), F.col("a_reason") == "ok"))
                 good = asked.join(full.select("seq", of(F.col("a_base")).alias("a")), "seq")
                 good = dedup.first_of(written.new(good, "a"), "a", "seq")
                 report.requests += asked.count()
@@ -307,7 +307,7 @@ def build_pairs(docs: DataFrame, cfg: BuildConfig, train: list[Entry] = OFFLINE,
         made.append((full, full.select("seq", "doc_id", "domain", "split")))
     chosen = reduce(DataFrame.unionAll, [g.select("seq", "split") for _, g in made])
     numbers = cut(ranking.numbered(chosen, ["split"], "seq", "__number").select("seq", "__number"))
-    records = [_records(full.join(good.select("seq"), "seq", "left_semi"), kinds, cfg) for full, good in made]
+    records = [_records(full.join(good.select("seq"), "seq", "left_semi").dropDuplicates(["seq"]), kinds, cfg) for full, good in made]
     return _with_ids(reduce(DataFrame.unionAll, records), numbers, len(kinds), cfg, offsets)
 
 
@@ -395,8 +395,8 @@ def build_quotas(docs: DataFrame, cfg: BuildConfig, train: list[Entry] = OFFLINE
         size = int(1.15 * min(left[b] for b in open_now) * len(open_now) / max(0.02, rate)) + 4
         began = feed.at
         part = feed.take(size).withColumn("buckets", sampling.bucket_order(cfg.random_seed, F.col("doc_id"))).withColumn("bucket", first_open("buckets", open_now))
-        turn = cut(_balanced(part.select("seq", "doc_id", "domain", "bucket"), cfg, report, min(sum(left[b] for b in open_now), size)).select("seq"))
-        part = part.join(turn, "seq", "left_semi")
+        turn = cut(_balanced(part.select("seq", "doc_id", "domain", "bucket").distinct(), cfg, report, min(sum(left[b] for b in open_now), size)).select("seq"))
+        part = part.join(turn, "seq", "left_semi").dropDuplicates(["seq"])
         found = cut(reduce(DataFrame.unionAll, [_of_bucket(part, b, cfg, *pools) for b in open_now]))
         rows = found.where("ok").select("seq", "doc_id", "domain", "split", "bucket", "hash")
         rows = cut(dedup.first_of(written.new(rows, "hash"), "hash", "seq"))
