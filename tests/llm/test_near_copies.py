@@ -1,7 +1,12 @@
 """Near copies of the pipeline's stage against brute force."""
 
+import ctypes
 import random
+import re
+import tracemalloc
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -79,3 +84,52 @@ def test_shared_counts_by_products_are_those_of_the_sets():
     rows, cols = np.arange(20), np.arange(20, 41)
     block = held.similar_block(rows, cols)
     assert all(block[a, b] == held.similar(int(i), int(j)) for a, i in enumerate(rows) for b, j in enumerate(cols))
+
+
+def test_a_worker_holds_few_texts_of_a_batch_at_once(spark):
+    class Rows:
+        """Stands for a frame; gives the function that its batches go through."""
+
+        select = lambda self, *columns: self
+        mapInArrow = lambda self, run, schema: run
+
+    held = [" ".join(rng.choice(WORDS) for _ in range(400)) for _ in range(100)]
+    whole = pa.RecordBatch.from_pydict({"doc_id": range(3000), "text_hash": range(3000), "text": [f"{i} {held[i % 100]}" for i in range(3000)]})
+    run = near_copies.fingerprints(Rows())
+    tracemalloc.start()
+    got = [(x["doc_id"], x["n"]) for batch in run(iter([whole])) for x in batch.select(["doc_id", "n"]).to_pylist()]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [x for x, _ in got] == list(range(3000)) and all(390 < n <= 397 for _, n in got)
+    assert most < 6e6  # the texts alone are 4 MB, their shingle sets 10 MB
+
+
+def test_no_task_has_two_python_workers(spark, monkeypatch):
+    """What takes a Python worker does not read from what takes another in the same stage."""
+    plans = []
+
+    def contracted(edges):
+        plans.append(edges._jdf.queryExecution().executedPlan().toString())
+        return components(edges)
+
+    components = near_copies.components
+    monkeypatch.setattr(near_copies, "components", contracted)
+    df = spark.createDataFrame(list(enumerate(texts())), "doc_id long, text string")
+    assert near_copies.keep_one(df).count() > 0
+    assert len(plans) == 1 and "MapInArrow" not in plans[0]
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="only glibc gives free memory back on demand")
+def test_a_worker_gives_back_what_a_task_freed():
+    size = lambda: int(re.search(r"RssAnon:\s+(\d+)", Path("/proc/self/status").read_text())[1]) // 1024
+    last = []
+
+    def run(batches):
+        held = [bytes([i % 256]) * 2000 for i in range(100_000)]
+        last.append(held[-1])  # stays above the freed 200 MB
+        del held
+        yield from batches
+
+    before = size()
+    assert list(near_copies.given_back(run)(iter([1, 2]))) == [1, 2]
+    assert size() - before < 60

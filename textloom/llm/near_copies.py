@@ -15,13 +15,17 @@ that have a candidate in it; only their shingle sets are computed, and are verif
 pairs first and without those that are connected already: no candidate pair is ever a row. A tile holds at most
 `TILE` texts and about `TILE_SHINGLES` shingles. Comparison is quadratic in different texts of like size, as its method is.
 
+Memory: Python workers stay beside the executor's heap for the stages that follow, with what they once took. So no task has two
+workers, a worker holds `TEXTS` texts and their shingle sets at a time, not Spark's whole batch, and it gives back what a task freed.
+
 Defined cases: texts without words are copies of each other; up to five words are one shingle; case is folded for ASCII;
 null text is empty; rows without a doc_id stay. Shingles are equal when their 64-bit hashes are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +42,8 @@ SHINGLE, WORDS, RADIUS, CLOSE, CACHE_WORDS = 5, 4, 68, 44, 500_000
 JACCARD = (4, 5)
 #: Texts of a tile and their shingles; texts compared at once; width of a size class.
 TILE, TILE_SHINGLES, BLOCK, CLASS = 8192, 1 << 22, 256, 1.05
+#: Texts whose shingle sets a worker computes at once.
+TEXTS = 256
 #: Odd multipliers that give a shingle's hash further words (the golden ratio and two of a common mixer).
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -49,6 +55,28 @@ def mixed(h: np.ndarray, rounds: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+Mapped = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def given_back(run: Mapped) -> Mapped:
+    """run, after which the worker's free memory goes back to the system (C's part of it where the C library can)."""
+
+    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(ctypes.c_size_t(0))
+
+    return out
+
+
+def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most TEXTS."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(lo, TEXTS)
+
+
 class Shingles:
     """Sorted different 64-bit hashes of the shingles of a UTF-8 text."""
 
@@ -96,14 +124,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Shingles()
-        for key, hashes, texts in utf8_lists(batches):
+        for key, hashes, texts in utf8_lists(few(batches)):
             sets = [of(x) for x in texts]
             ids = np.array([xxhash.xxh64_intdigest(h.tobytes(), 42) for h in sets], np.uint64).view(np.int64)
             prints = np.array([fingerprint(h) for h in sets], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([key, hashes, pa.array(ids), pa.array(map(len, sets), pa.int64()), *map(pa.array, prints.T)], names=["doc_id", "text_hash", "set_id", "n", *FP])
 
     kinds = ", ".join(f"{f} long" for f in FP)
-    return docs.select(F.col("doc_id").cast("long"), text_hash().alias("text_hash"), F.col("text").cast("string")).mapInArrow(run, f"doc_id long, text_hash long, set_id long, n long, {kinds}")
+    return docs.select(F.col("doc_id").cast("long"), text_hash().alias("text_hash"), F.col("text").cast("string")).mapInArrow(given_back(run), f"doc_id long, text_hash long, set_id long, n long, {kinds}")
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -163,7 +191,7 @@ def involved(pairs: DataFrame, radius: int) -> DataFrame:
                     ids, side = np.concatenate([ids1[left], ids2[right]]), np.repeat([1, 2], [left.sum(), right.sum()])
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), batch.column(0)[i].as_py(), np.int64)), pa.array(side.astype(np.int64)), pa.array(ids)], names=["pair", "side", "id"])
 
-    return pairs.mapInArrow(run, "pair long, side long, id long")
+    return pairs.mapInArrow(given_back(run), "pair long, side long, id long")
 
 
 class Sets:
@@ -254,7 +282,7 @@ def links(keys: DataFrame, docs: DataFrame, radius: int = RADIUS, tile: int = TI
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Shingles()
-        for *key, texts in utf8_lists(batches):
+        for *key, texts in utf8_lists(few(batches)):
             for i, x in enumerate(texts):
                 yield pa.RecordBatch.from_arrays([*(c.slice(i, 1) for c in key), pa.array([of(x).view(np.int64)], pa.list_(pa.int64()))], names=["id", *FP, "shingles"])
 
@@ -268,10 +296,11 @@ def links(keys: DataFrame, docs: DataFrame, radius: int = RADIUS, tile: int = TI
 
     texts = docs.select(row_key().alias("pick"), F.col("text").cast("string")).join(wanted, "pick").select("set_id", *FP, "text")
     kinds = ", ".join(f"{f} long" for f in FP)
-    of = cut(texts.mapInArrow(sets, f"id long, {kinds}, shingles array<long>").dropDuplicates(["id"]))
+    of = cut(texts.mapInArrow(given_back(sets), f"id long, {kinds}, shingles array<long>").dropDuplicates(["id"]))
     parts = max(docs.sparkSession.sparkContext.defaultParallelism, min(20_000, found.select("pair").distinct().count() // 32))
     both = found.join(of, "id").repartition(parts, "pair").sortWithinPartitions("pair")
-    return both.select("pair", "side", "id", *FP, "shingles").mapInArrow(run, "a long, b long")
+    # computed here: contracting them in the same task would take a second Python worker
+    return cut(both.select("pair", "side", "id", *FP, "shingles").mapInArrow(given_back(run), "a long, b long"))
 
 
 def row_key() -> Column:
