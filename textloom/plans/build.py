@@ -144,7 +144,11 @@ def complete(df: DataFrame, cfg: BuildConfig, provider: generation.Provider | No
 
 def add_machine(df: DataFrame, cfg: BuildConfig, train: list[Entry], stress: list[Entry], provider: generation.Provider | None = None) -> DataFrame:
     """Adds prompt, a_base, a_final, a_final_log and a_reason of the machine row."""
-    df = complete(add_request(df, cfg, train, stress), cfg, provider)
+    return judge_machine(complete(add_request(df, cfg, train, stress), cfg, provider), cfg)
+
+
+def judge_machine(df: DataFrame, cfg: BuildConfig) -> DataFrame:
+    """Adds a_base, a_final, a_final_log and a_reason to completed requests."""
     df = df.withColumn("a_base", combine(F.col("prompt"), generation.post_process(F.col("completion"))))
     df = _augmented(df, "a_base", cfg, "machine", "a_final")
     reason = quality_reason(F.col("a_final"), cfg.quality, is_ai=True, prefix=F.col("prompt"))
@@ -260,65 +264,103 @@ class Written:
         self.known.append(rows.select(F.explode(F.array(*keys)).alias("__hash")))
 
 
+def _pair_rows(df: DataFrame, kinds: list[str], cfg: BuildConfig) -> DataFrame:
+    """(rid, a, records) of rows with all sides: a null where the machine side fails, records null where one does."""
+    of = normalized_hash if cfg.dedup_normalize_text else text_hash
+    ok = F.lit(True) if len(kinds) == 1 else F.col("a_reason") == "ok"
+    a = F.lit(None).cast("string") if len(kinds) == 1 else F.when(ok, of(F.col("a_base")))
+    return df.withColumns({"a": a, "records": F.when(ok, F.array(*[record(k, cfg) for k in kinds]))})
+
+
+def _asked_in_turn(human: DataFrame, rows: DataFrame, cfg: BuildConfig, provider: generation.Provider, written: Written, left: int | None, report: Report) -> tuple[DataFrame, DataFrame]:
+    """(rid, records) of the answers and of each human text the first row (rid, seq, domain, split, h, a) whose machine row passes.
+
+    Turns ask for the 1st document of each text, and of texts without a passing one for the 2nd, the 3rd and 4th, the 5th to
+    8th and so on: n copies take about log2(n) turns and less than twice the requests of asking one by one. The turn of a row is
+    known before, so that each turn reads and shuffles its own rows only. Rows behind the left-th good one are not asked."""
+    kinds = ["human", "direct_ai"]
+    rows = rows.groupBy("seq", "h").agg(F.min(F.struct("domain", "split", "rid")).alias("__first")).select("seq", "h", "__first.*")
+    rows = cut(ranking.numbered(rows, ["h"], "seq", "__n").withColumn("turn", F.when(F.col("__n") == 1, 0).otherwise(F.length(F.bin(F.col("__n") - 1)))).drop("__n"))
+    last = rows.agg(F.max("turn")).first()[0] or 0
+    human = human.join(rows.select("rid", "turn"), "rid")
+    human = cut(human) if last else human
+    fulls, firsts, upto = [], [], None
+    for turn in range(last + 1):
+        asked = rows.where(F.col("turn") == turn)
+        for f in firsts:
+            asked = asked.join(f.select("h"), "h", "left_anti")
+        asked = cut(asked if upto is None else asked.where(F.col("seq") < upto))
+        if not (n := asked.count()) and turn:
+            break
+        report.requests += n
+        made = judge_machine(complete(human.where(F.col("turn") == turn).join(asked.select("rid"), "rid", "left_semi"), cfg, provider), cfg)
+        full = cut(keep(_pair_rows(made, kinds, cfg).select("rid", "a", "records"), F.col("a").isNotNull()))
+        fulls.append(full.select("rid", "records"))
+        passed = asked.join(full.select("rid", "a"), "rid").select("rid", "seq", "domain", "split", "h", "a")
+        firsts.append(cut(dedup.first_of(passed, "h", "seq")))
+        if left is not None:  # with more first rows the left-th good one can only come earlier
+            good = dedup.first_of(written.new(reduce(DataFrame.unionAll, firsts), "a"), "a", "seq")
+            end = ranking.numbered(good.select("seq"), [], "seq", "__n").where(F.col("__n") == left).head(1)
+            upto = end[0].seq if end else None
+    return reduce(DataFrame.unionAll, fulls), reduce(DataFrame.unionAll, firsts)
+
+
 def build_pairs(docs: DataFrame, cfg: BuildConfig, train: list[Entry] = OFFLINE, stress: list[Entry] = (), provider: generation.Provider | None = None, earlier: DataFrame | None = None, offsets: DataFrame | None = None, report: Report | None = None) -> DataFrame:
     """Human rows, and with skip_ai off a machine row beside each; a pair is kept only if both sides pass.
 
-    Documents come in the order of seq. Of those with one human text the first is asked for its machine row; where that fails,
-    the next one is. With num_pairs, parts of documents are taken until there are so many pairs, so requests are few more
-    than pairs; without, all documents are one part. Only narrow rows decide: order, hashes, domain and split."""
+    Documents come in the order of seq. Of those with one human text the first whose machine row passes counts; of these,
+    the first of each machine text. With num_pairs, parts of documents are taken until there are so many pairs, so requests
+    are few more than pairs; without, all documents are one part. Only narrow rows decide: order, hashes, domain and split.
+    The offline provider's texts cost no request: they are made in one pass with the human side. Records are written once
+    and shuffled once, whatever the number of copies."""
     of = normalized_hash if cfg.dedup_normalize_text else text_hash
     feed, report, written = Feed(docs, cfg), report or Report(), Written(earlier, cfg.dedup_normalize_text)
     made: list[tuple[DataFrame, DataFrame]] = []
     kinds, pairs, tried = ["human"] if cfg.skip_ai else ["human", "direct_ai"], 0, 0
+    at_once = cfg.skip_ai or provider is None
+
+    def sides(part: DataFrame) -> DataFrame:
+        """Rows whose human side passes, by rid, with what is asked for, or all that is made at once."""
+        human = keep(add_human(part, cfg), F.col("h_reason") == "ok").withColumns({"h": of(F.col("h_base")), "rid": F.monotonically_increasing_id()})
+        if not at_once:
+            return add_request(human, cfg, list(train), list(stress)).drop("sents")
+        full = human if cfg.skip_ai else add_machine(human, cfg, list(train), list(stress))
+        return _pair_rows(full, kinds, cfg).select("rid", "seq", "doc_id", "domain", "split", "h", "a", "records")
+
     while not feed.done() and (cfg.num_pairs is None or pairs < cfg.num_pairs):
         left = None if cfg.num_pairs is None else cfg.num_pairs - pairs
         size = None if left is None else int(1.15 * left / max(0.02, pairs / tried if pairs else 0.5 if not tried else 0.5 / tried)) + 4
-        part = feed.take(size)
-        human = cut(keep(add_human(part, cfg), F.col("h_reason") == "ok"))
-        rows = human.select("seq", "doc_id", "domain", "split", of(F.col("h_base")).alias("h"))
+        human = cut(sides(feed.take(size)))
+        rows = human.select("rid", "seq", "doc_id", "domain", "split", "h", *["a"] * at_once)
         rows = cut(_balanced(written.new(rows, "h"), cfg, report, left))
         report.parts += 1
         tried += size or 0
-        while True:
-            asked = cut(dedup.first_of(rows, "h", "seq"))
-            if cfg.skip_ai:
-                full, good = human, asked
-            else:
-                full = cut(keep(add_machine(human.join(asked.select("seq"), "seq", "left_semi").dropDuplicates(["seq"]), cfg, list(train), list(stress), provider), F.col("a_reason") == "ok"))
-                good = asked.join(full.select("seq", of(F.col("a_base")).alias("a")), "seq")
-                good = dedup.first_of(written.new(good, "a"), "a", "seq")
-                report.requests += asked.count()
-            if left is not None:
-                good = ranking.first_rows(good, [], "seq", left)
-            good = cut(good)
-            n = report.add(good, kinds, cfg.domain_quotas)
-            made.append((full, good))
-            written.add(good, ["h"] if cfg.skip_ai else ["h", "a"])
-            pairs, left = pairs + n, None if left is None else left - n
-            if cfg.skip_ai or left == 0:
-                break
-            rows = cut(rows.join(asked.select("seq"), "seq", "left_anti").join(good.select("h"), "h", "left_anti"))
-            if rows.isEmpty():
-                break
+        if at_once:
+            full, firsts = human.select("rid", "records"), cut(dedup.first_of(rows if cfg.skip_ai else rows.where("a is not null"), "h", "seq"))
+            report.requests += 0 if cfg.skip_ai else rows.select("seq", "h").distinct().count()
+        else:
+            full, firsts = _asked_in_turn(human, rows, cfg, provider, written, left, report)
+        good = firsts if cfg.skip_ai else dedup.first_of(written.new(firsts, "a"), "a", "seq")
+        if left is not None:
+            good = ranking.first_rows(good, [], "seq", left)
+        good = cut(good)
+        pairs += report.add(good, kinds, cfg.domain_quotas)
+        made.append((full, good))
+        written.add(firsts, ["h"] if cfg.skip_ai else ["h", "a"])
     report.documents, report.split_documents = feed.counts() if made else (0, 0)
     if not made:
-        part = add_human(prepare(feed.docs.where("false"), cfg), cfg)
-        full = part if cfg.skip_ai else add_machine(part, cfg, list(train), list(stress), provider)
-        made.append((full, full.select("seq", "doc_id", "domain", "split")))
-    chosen = reduce(DataFrame.unionAll, [g.select("seq", "split") for _, g in made])
-    numbers = cut(ranking.numbered(chosen, ["split"], "seq", "__number").select("seq", "__number"))
-    records = [_records(full.join(good.select("seq"), "seq", "left_semi").dropDuplicates(["seq"]), kinds, cfg) for full, good in made]
-    return _with_ids(reduce(DataFrame.unionAll, records), numbers, len(kinds), cfg, offsets)
-
-
-def _records(df: DataFrame, kinds: list[str], cfg: BuildConfig) -> DataFrame:
-    """(seq, place, r): the records of each row of df, one of each kind in its place."""
-    return df.select("seq", F.posexplode(F.array(*[record(k, cfg) for k in kinds])).alias("place", "r"))
-
-
-def _with_ids(records: DataFrame, numbers: DataFrame, width: int, cfg: BuildConfig, offsets: DataFrame | None) -> DataFrame:
-    """The records (seq, place, r) with dense ids; numbers (seq, __number within the split), width: records of a number."""
-    rows = records.join(numbers, "seq")
+        at_once = True
+        empty = sides(prepare(feed.docs.where("false"), cfg))
+        made.append((empty.select("rid", "records"), empty))
+    chosen = reduce(DataFrame.unionAll, [g.select(F.lit(i).alias("__part"), "rid", "seq", "split") for i, (_, g) in enumerate(made)])
+    numbers = cut(ranking.numbered(chosen, ["split"], "seq", "__number", ("__part", "rid")).select("__part", "rid", "__number"))
+    rows = [full.join(numbers.where(F.col("__part") == i), "rid") for i, (full, _) in enumerate(made)]
+    records = [r.select("__number", F.posexplode("records").alias("place", "r")) for r in rows]
+    return _with_ids(reduce(DataFrame.unionAll, records), len(kinds), cfg, offsets)
+
+
+def _with_ids(rows: DataFrame, width: int, cfg: BuildConfig, offsets: DataFrame | None) -> DataFrame:
+    """The records of rows (__number within the split, place, r) with dense ids; width: records of a number."""
     if offsets is not None:
         last = F.broadcast(offsets.select(F.col("split").alias("__split"), F.col("last").alias("__last")))  # one row for each split
         rows = rows.join(last, F.col("r.split") == F.col("__split"), "left")
@@ -422,7 +464,7 @@ def build_quotas(docs: DataFrame, cfg: BuildConfig, train: list[Entry] = OFFLINE
     chosen = cut(reduce(DataFrame.unionAll, [g.select("seq", "split") for _, g in made]))
     numbers = cut(ranking.numbered(chosen, ["split"], "seq", "__number").select("seq", "__number"))
     records = [f.join(g.select("seq"), "seq", "left_semi").select("seq", F.lit(0).alias("place"), "r") for f, g in made]
-    return _with_ids(reduce(DataFrame.unionAll, records), numbers, 1, cfg, offsets)
+    return _with_ids(reduce(DataFrame.unionAll, records).join(numbers, "seq"), 1, cfg, offsets)
 
 
 def build(docs: DataFrame, cfg: BuildConfig, **more: Any) -> DataFrame:
