@@ -22,6 +22,11 @@ class Picky:
         return f"It goes on after {len(request['prompt'])} letters. And then it ends here at last.", {"provider": "offline"}
 
 
+class Never:
+    def complete(self, request):
+        raise RuntimeError("busy")
+
+
 def copies(spark, texts, times):
     """Each text under times ids."""
     return corpus(spark, texts).crossJoin(spark.range(times).withColumnRenamed("id", "copy")).withColumn("doc_id", F.concat_ws("-", "doc_id", "copy")).drop("copy").repartition(3)
@@ -55,3 +60,21 @@ def test_pairs_of_copies(spark, provider):
     assert report.requests <= (rows if provider is None else 2 * requests) and report.rows == {"human": len(want), "direct_ai": len(want)}
     few = build.build_pairs(docs, replace(PLAIN, num_pairs=3), provider=provider).where("sample_kind = 'human'").collect()
     assert sorted(r.source_doc_id for r in few) == sorted(want[:3])
+
+
+def test_copies_that_fail_are_asked_in_few_turns(spark):
+    docs = copies(spark, 2, 30)
+    report = build.Report()
+    assert build.build_pairs(docs, PLAIN, provider=Never(), report=report).count() == 0
+    assert report.requests == expected(docs, None)[2]
+
+
+@pytest.mark.parametrize("provider", [None, Never()])
+def test_jobs_do_not_grow_with_the_copies(spark, provider):
+    jobs = []
+    for times in (4, 32):
+        spark.sparkContext.setJobGroup(f"copies-{times}-{provider is None}", "")
+        build.build_pairs(copies(spark, 3, times), PLAIN, provider=provider).count()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"copies-{times}-{provider is None}")))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs[1] <= (jobs[0] + 3 if provider is None else 3 * jobs[0]), jobs
